@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, line_dedup, minhash, secret_scan
+from . import bpe, chat, decontam, line_dedup, lm, minhash, secret_scan
 from .common import table
 
 
 def queries() -> dict:
     return {
         "op1_near_dedup": lambda s, d: minhash.query(table(s, d, "documents")),
+        "op2_lm_score": lambda s, d: lm.query(table(s, d, "documents")),
         "op3_chat_format": lambda s, d: chat.query(s, table(s, d, "conversations")),
         "op5_byte_bpe": lambda s, d: bpe.query(s, table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
