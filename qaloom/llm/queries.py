@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, line_dedup, lm, minhash, secret_scan
+from . import bpe, chat, decontam, line_dedup, lm, minhash, secret_scan, toxicity
 from .common import table
 
 
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op3_chat_format": lambda s, d: chat.query(s, table(s, d, "conversations")),
         "op5_byte_bpe": lambda s, d: bpe.query(s, table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
+        "op7_toxicity": lambda s, d: toxicity.query(s, table(s, d, "documents"), table(s, d, "labels")),
         "op8_decontaminate": lambda s, d: decontam.query(table(s, d, "documents"), table(s, d, "benchmark")),
         "op10_secret_scan": lambda s, d: secret_scan.query(table(s, d, "documents")),
     }

@@ -59,13 +59,14 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word, and bounds: text i has words bounds[i] to bounds[i + 1]. A word's hash is the
-    difference of two prefix sums of a polynomial, moved to power 0 and mixed. Memory: some 60 bytes a byte."""
+def word_hashes(texts: pa.Array, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """A 64-bit hash for each word, and bounds: text i has words bounds[i] to bounds[i + 1]; then, for each number in
+    heads, the hashes of so many first bytes of the words. A hash is the difference of two prefix sums of a
+    polynomial, moved to power 0 and mixed. Memory: some 60 bytes a byte."""
     data, off = raw(texts)
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), *(np.zeros(0, np.uint64) for _ in heads)
     blank = BLANK[data]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
@@ -78,7 +79,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE[LOWERED[data]] * up, out=sums[1:])
-    return mix((sums[end] - sums[begin]) * down[begin]), np.searchsorted(begin, off)
+    hashed = lambda to: mix((sums[to] - sums[begin]) * down[begin])
+    return hashed(end), np.searchsorted(begin, off), *(hashed(np.minimum(end, begin + k)) for k in heads)
 
 
 def shingles(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
