@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontam, line_dedup, lm, minhash, secret_scan, toxicity
+from . import ann, bpe, chat, decontam, line_dedup, lm, minhash, secret_scan, toxicity
 from .common import table
 
 
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op6_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.query(s, table(s, d, "documents"), table(s, d, "labels")),
         "op8_decontaminate": lambda s, d: decontam.query(table(s, d, "documents"), table(s, d, "benchmark")),
+        "op9_ann": lambda s, d: ann.query(table(s, d, "embeddings")),
         "op10_secret_scan": lambda s, d: secret_scan.query(table(s, d, "documents")),
     }
 
