@@ -46,3 +46,10 @@ def row_key(df: DataFrame, *columns: str) -> list[Column]:
     """128 bits that identify a row by content, so that null and repeated ids do no harm."""
     given = [F.col(c) for c in columns]
     return [F.xxhash64(*given).alias("_k1"), F.xxhash64(F.lit("second"), *given[::-1]).alias("_k2")]
+
+
+def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], spread: Column, salts: int = 16) -> DataFrame:
+    """rows left-joined with side, which has a row for each key: a key's rows are dealt to so many tasks by spread, and
+    side's row goes to each. Both sides are shuffled for this join alone, so AQE can split what is still too large."""
+    salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], "left").drop("_salt")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, decontam, line_dedup, lm, minhash, secret_scan, toxicity
+from . import ann, bpe, chat, decontam, langid, line_dedup, lm, minhash, secret_scan, toxicity
 from .common import table
 
 
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op1_near_dedup": lambda s, d: minhash.query(table(s, d, "documents")),
         "op2_lm_score": lambda s, d: lm.query(table(s, d, "documents")),
         "op3_chat_format": lambda s, d: chat.query(s, table(s, d, "conversations")),
+        "op4_language_id": lambda s, d: langid.query(s, table(s, d, "documents"), table(s, d, "pages")),
         "op5_byte_bpe": lambda s, d: bpe.query(s, table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.query(s, table(s, d, "documents"), table(s, d, "labels")),
