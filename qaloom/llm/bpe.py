@@ -14,11 +14,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK, chunk_ids, part_count, planes, unplanes
-from .common import settle
+from .chunks import CHUNK, chunk_ids, part_count, planes, squeeze, unplanes, unsqueeze
+from .common import settle_by
 from .words import pieces
 
 #: Unicode white space, as fixed values.
@@ -42,7 +42,7 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 
 
 def _cut(pattern: str, parts: int):
-    """A `doc` row for each chunk, with the positions of its words; and a row for each part, with the distinct words."""
+    """A row for each chunk: the positions of its words, and for each part the distinct words that it is asked for."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, names = splitter(pattern).findall, chunk_ids()
@@ -59,16 +59,17 @@ def _cut(pattern: str, parts: int):
                 owner = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
                 order = np.argsort(owner, kind="stable")
                 chunk = next(names)
-                rows = [(chunk, -1, part["_id"].to_pylist(), planes(np.diff(bounds)), planes(np.concatenate(spots)), planes(order), None, None)]
+                asked = []
                 for p, own in zip(*_runs(owner[order], order), strict=True):
                     mine = [words[i] for i in own]
-                    rows.append((chunk, int(p), None, None, None, None, b"".join(mine), planes(np.fromiter(map(len, mine), np.int64, len(mine)))))
-                yield _batch(rows, _CUT)
+                    asked.append({"part": int(p), "words": squeeze(b"".join(mine)), "sizes": planes(np.fromiter(map(len, mine), np.int64, len(mine)))})
+                yield _batch([(chunk, part["_id"].to_pylist(), planes(np.diff(bounds)), planes(np.concatenate(spots)), planes(order), asked)], _CUT)
 
     return made
 
 
-_CUT = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("spots", pa.binary()), ("order", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary())])
+_ASKED = pa.struct([("part", pa.int32()), ("words", pa.binary()), ("sizes", pa.binary())])
+_CUT = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("spots", pa.binary()), ("order", pa.binary()), ("asked", pa.list_(_ASKED))])
 _ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("words", pa.binary()), ("sizes", pa.binary())])
 
 
@@ -95,7 +96,7 @@ def _encode_words(ranks, pattern: str):
         out = []
         for chunk, part, blob, sizes in zip(*(table[c].to_pylist() for c in ("chunk", "part", "words", "sizes")), strict=True):
             got = []
-            for word in _apart(blob, unplanes(sizes)):
+            for word in _apart(unsqueeze(blob), unplanes(sizes)):
                 ids = known.get(word)
                 if ids is None:
                     ids = known[word] = np.array(encode(word), np.uint32)
@@ -106,21 +107,23 @@ def _encode_words(ranks, pattern: str):
     return made
 
 
-def _assemble(table: pa.Table) -> pa.Table:
+def _assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """One chunk: its positions, and the ids of its words from every part."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-    doc, answers = rows[0], rows[1:]
+    doc, told = docs.to_pylist()[0], sorted(answers.to_pylist(), key=lambda r: r["part"])
     order, spots, lengths = (unplanes(doc[c]) for c in ("order", "spots", "lengths"))
-    sizes = np.empty(len(order), np.int64)
-    sizes[order] = np.concatenate([unplanes(r["sizes"]) for r in answers]) if answers else []
-    flat = np.concatenate([unplanes(r["words"]) for r in answers]) if answers else np.zeros(0, np.int64)
-    begin = np.empty(len(order), np.int64)
-    begin[order] = np.cumsum(sizes[order]) - sizes[order]
-    n, first = sizes[spots], begin[spots]
-    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-    ids = flat[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])] if len(n) else flat[:0]
-    bounds = ends[np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)]
-    return pa.table({"_id": pa.array(doc["ids"], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))})
+    sizes, begin = np.empty(len(order), np.int32), np.empty(len(order), np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *(unplanes(r["words"]).astype(np.int32) for r in told)])
+    given = np.concatenate([np.zeros(0, np.int64), *(unplanes(r["sizes"]) for r in told)])
+    sizes[order], begin[order] = given, np.cumsum(given) - given
+    bounds = np.concatenate([[0], np.cumsum(sizes[spots], dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)]
+    ids, at = np.empty(bounds[-1], np.int32), 0
+    for a in range(0, len(spots), 1 << 18):  # some at a time: places take four times the memory of ids
+        n = sizes[spots[a : a + (1 << 18)]]
+        ends = np.cumsum(n)
+        if len(n) and ends[-1]:
+            ids[at : at + ends[-1]] = flat[np.repeat(begin[spots[a : a + (1 << 18)]] - ends + n, n) + np.arange(ends[-1])]
+            at += ends[-1]
+    return pa.table({"_id": pa.array(doc["ids"], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))})
 
 
 def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,18 +135,20 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     the longest text or of CHUNK, whichever is more).
 
     Plan: chunks of texts are cut into words with positions, in a table of the shared folder (positions pack to
-    some 2 bytes each); each chunk's distinct words shuffle to parts by hash, where each distinct word of the
-    corpus is encoded once; the ids return to the chunks and are laid out by position. The ranks are a file of
+    some 1.5 bytes each), bucketed by chunk; each chunk's distinct words shuffle to parts by hash, where each
+    distinct word of the corpus is encoded once; the ids return to the chunks' buckets and are laid out by
+    position. So positions never shuffle. The ranks are a file of
     fixed size, and are broadcast. The plan that explodes each word into a row would shuffle some 30 bytes a word.
     """
     spark = docs.sparkSession
     kept = spark.sparkContext.broadcast(ranks)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    cut = settle(rows.mapInArrow(_cut(pattern, part_count(spark)), "chunk long, part int, ids array<long>, lengths binary, spots binary, order binary, words binary, sizes binary"), "words")
-    asked = cut.filter("part >= 0").select("chunk", "part", "words", "sizes")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = settle_by(rows.mapInArrow(_cut(pattern, part_count(spark)), "chunk long, ids array<long>, lengths binary, spots binary, order binary, asked array<struct<part:int,words:binary,sizes:binary>>"), "words", "chunk", buckets)
+    asked = cut.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.part", "a.words", "a.sizes")
     answers = asked.groupBy("part").applyInArrow(_encode_words(kept, pattern), "chunk long, part int, words binary, sizes binary")
-    both = cut.filter("part < 0").select("chunk", "part", "ids", "lengths", "spots", "order", "words", "sizes").unionByName(answers, allowMissingColumns=True)
-    return both.groupBy("chunk").applyInArrow(_assemble, "_id long, ids array<int>").withColumnRenamed("_id", id_col)
+    placed = cut.select("chunk", "ids", "lengths", "spots", "order").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return placed.applyInArrow(_assemble, "_id long, ids array<int>").withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
@@ -166,12 +171,22 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
     return encoded.mapInArrow(made, f"{schema}, decoded binary")
 
 
-def query(spark: SparkSession, docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+def default_ranks() -> bytes:
     import public_tokenizers
 
-    with open(ranks_path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
-        ranks = file.read()
-    done = decode(encode(docs.select("doc_id", "text"), ranks, pattern or public_tokenizers.PATTERN), ranks)
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        return file.read()
+
+
+def default_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def query(docs: DataFrame) -> DataFrame:
+    ranks = default_ranks()
+    done = decode(encode(docs.select("doc_id", "text"), ranks, default_pattern()), ranks)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -32,6 +32,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """settle, with the rows in so many buckets by column: what joins or groups them by column later doesn't
+    shuffle them again."""
+    name = f"qaloom_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z only. lower() does just that, and fast, where every character is one byte long."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

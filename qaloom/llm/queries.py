@@ -12,7 +12,7 @@ def queries() -> dict:
         "op2_lm_score": lambda s, d: lm.query(table(s, d, "documents")),
         "op3_chat_format": lambda s, d: chat.query(s, table(s, d, "conversations")),
         "op4_language_id": lambda s, d: langid.query(s, table(s, d, "documents"), table(s, d, "pages")),
-        "op5_byte_bpe": lambda s, d: bpe.query(s, table(s, d, "documents")),
+        "op5_byte_bpe": lambda s, d: bpe.query(table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_dedup.query(table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.query(s, table(s, d, "documents"), table(s, d, "labels")),
         "op8_decontaminate": lambda s, d: decontam.query(table(s, d, "documents"), table(s, d, "benchmark")),
