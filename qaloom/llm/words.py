@@ -40,7 +40,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def pieces(texts: pa.Array, size: int = 1 << 21, most: int = 60_000) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, size: int = 1 << 19, most: int = 60_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold up to size bytes and most rows, or one row."""
     off = np.concatenate([[0], np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)).astype(np.int64))]) if len(texts) else np.zeros(1, np.int64)
     at = 0
