@@ -36,7 +36,8 @@ def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_text_col: str = "text") -> DataFrame:
     """For each row of docs: its id, the text, n_words (long), hits (sorted 0-based word positions inside any
-    occurrence of a benchmark window) and items (sorted ids, as text, of the items whose windows occur).
+    occurrence of a benchmark window), items (sorted ids, as text, of the items whose windows occur), and _k, a hash
+    of the id and text.
 
     Null or wordless text: no words, no hits. Null and repeated ids, and repeated rows, are ordinary: one result
     row for each row. Either table may be empty. Columns beyond the id and text are not looked at here.
@@ -48,7 +49,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
     bench = benchmark_windows(benchmark, window, item_col, bench_text_col)
     stated = bench.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("m")).orderBy("length").collect()  # a row for each length up to window
     lengths, total = [r["length"] for r in stated], sum(r["n"] + r["m"] for r in stated)
-    cut = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_k"), words(F.col(text_col)).alias("_w"))
+    cut = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(id_col, text_col).alias("_k"), words(F.col(text_col)).alias("_w"))
     entry = lambda h, i, n: F.struct(h.alias("h"), i.alias("i"), F.lit(n).alias("length"))
     probes = F.concat(
         F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(-1).alias("i"), F.lit(0).alias("length"))),
@@ -63,17 +64,13 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str =
         F.collect_set(F.when(~first, F.struct("i", "length"))).alias("runs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
     )
     inside = F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["i"], r["i"] + r["length"] - 1)))))
-    one = byrow.select("_id", "_text", F.col("n_words").cast("long").alias("n_words"), inside.alias("hits"), F.array_sort("items").alias("items"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_one"))
+    one = byrow.select("_id", "_text", "_k", F.col("n_words").cast("long").alias("n_words"), inside.alias("hits"), F.array_sort("items").alias("items"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_one"))
     return one.drop("_one").withColumnsRenamed({"_id": id_col, "_text": text_col})
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs without the rows in which a benchmark window occurs; columns and other rows stay as they are."""
-    return _kept(docs, find(docs, benchmark, window))
-
-
-def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    bad = found.filter(F.size("hits") > 0).select(F.xxhash64("doc_id", "text").alias("_k")).distinct()
+    bad = find(docs.select("doc_id", "text"), benchmark, window).filter(F.size("hits") > 0).select("_k").distinct()
     return docs.withColumn("_k", F.xxhash64("doc_id", "text")).join(bad, "_k", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
