@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import settle
+from .words import tidied
 
 #: Vectors of a shard, queries of a block; both bound what a task holds (some 300 bytes each, at 64 dimensions).
 SHARD, BLOCK = 8192, 4096
@@ -241,11 +242,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, beam: int = BEAM, i
     dim, shards, blocks = common["_d"], -(-common["n"] // SHARD), max(1, -(-common["q"] // BLOCK))
     rows = rows.filter(F.col("_d") == dim).select("_id", "_v")
     hashed = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "_id"), F.lit(n)).cast("int")
-    index = settle(rows.withColumn("shard", hashed("shard", shards)).groupBy("shard").applyInArrow(_build(dim, k), _INDEX), "graphs")
-    packed = settle(rows.filter(F.col("_id") % every == 0).withColumn("block", hashed("block", blocks)).groupBy("block").applyInArrow(_pack(dim), "block int, ids binary, vectors binary"), "queries")
+    index = settle(rows.withColumn("shard", hashed("shard", shards)).groupBy("shard").applyInArrow(tidied(_build(dim, k)), _INDEX), "graphs")
+    packed = settle(rows.filter(F.col("_id") % every == 0).withColumn("block", hashed("block", blocks)).groupBy("block").applyInArrow(tidied(_pack(dim)), "block int, ids binary, vectors binary"), "queries")
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(_search(dim, k, beam), "query_id long, vec_id long, score double")
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(tidied(_search(dim, k, beam)), "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

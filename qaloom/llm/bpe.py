@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .chunks import CHUNK, chunk_ids, part_count, planes, squeeze, unplanes, unsqueeze
 from .common import settle_by
-from .words import pieces
+from .words import pieces, tidied
 
 #: Unicode white space, as fixed values.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -144,11 +144,11 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     kept = spark.sparkContext.broadcast(ranks)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = settle_by(rows.mapInArrow(_cut(pattern, part_count(spark)), "chunk long, ids array<long>, lengths binary, spots binary, order binary, asked array<struct<part:int,words:binary,sizes:binary>>"), "words", "chunk", buckets)
+    cut = settle_by(rows.mapInArrow(tidied(_cut(pattern, part_count(spark))), "chunk long, ids array<long>, lengths binary, spots binary, order binary, asked array<struct<part:int,words:binary,sizes:binary>>"), "words", "chunk", buckets)
     asked = cut.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.part", "a.words", "a.sizes")
-    answers = asked.groupBy("part").applyInArrow(_encode_words(kept, pattern), "chunk long, part int, words binary, sizes binary")
+    answers = asked.groupBy("part").applyInArrow(tidied(_encode_words(kept, pattern)), "chunk long, part int, words binary, sizes binary")
     placed = cut.select("chunk", "ids", "lengths", "spots", "order").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return placed.applyInArrow(_assemble, "_id long, ids array<int>").withColumnRenamed("_id", id_col)
+    return placed.applyInArrow(tidied(_assemble), "_id long, ids array<int>").withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
@@ -168,7 +168,7 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "decoded")
-    return encoded.mapInArrow(made, f"{schema}, decoded binary")
+    return encoded.mapInArrow(tidied(made), f"{schema}, decoded binary")
 
 
 def default_ranks() -> bytes:

@@ -28,7 +28,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there, so a lost executor costs only
     the tasks that read it, and Python work before it is never repeated."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/qaloom-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -37,7 +37,7 @@ def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     shuffle them again."""
     name = f"qaloom_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
-    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import join_spread, settle
-from .words import LOWERED, pieces, raw
+from .words import LOWERED, pieces, raw, tidied
 
 #: Rows of each language that the text model is fitted on at most (those of least hash), and languages at most (the
 #: commonest). They bound the model and the fitting task; statistics of hosts, suffixes and markup cover all rows.
@@ -68,7 +68,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "te
         cell = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(cell[0] * CELLS + cell[1], pa.int32()), pa.array(totals[cell], pa.int64())], names=["cell", "n"])
 
-    summed = rows.mapInArrow(counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most languages x cells
+    summed = rows.mapInArrow(tidied(counted), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most languages x cells
     counts = np.full(len(langs) * CELLS, 0.5)
     for r in summed:
         counts[r["cell"]] += r["n"]
@@ -120,7 +120,7 @@ def identify(pages: DataFrame, langs: list[str], model: bytes, id_col: str = "pa
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*part.schema.names[:-1], "_text"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    seen = settle(rows.mapInArrow(read, f"_id {id_type}, _k long, host string, declared string, _text array<double>"), "pages")
+    seen = settle(rows.mapInArrow(tidied(read), f"_id {id_type}, _k long, host string, declared string, _text array<double>"), "pages")
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)\.?$", 1)
     seen = seen.withColumns({"domain": F.when(domain == "", F.col("host")).otherwise(domain), "suffix": F.regexp_extract("host", r"\.([a-z]{2,})\.?$", 1), "_p": _softmax(F.col("_text"))})
     sums = [F.sum(F.get("_p", F.lit(i))).alias(f"s{i}") for i in range(n)]

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from .chunks import CHUNK, chunk_ids, part_count, planes, unplanes
 from .common import remainder, settle
-from .words import BASE, mix, pieces, word_hashes
+from .words import BASE, mix, pieces, tidied, word_hashes
 
 #: Bits for each insertion and probes for each: one false answer in 45.
 BITS, PROBES = 8, 5
 #: Bytes of filter that go to every executor at once. Bigrams beyond that are scored in so many passes; unigrams
 #: beyond it get fewer bits each, down to what fits: the error grows, nothing is left out.
 BROADCAST_BYTES = 256 << 20
+#: Bytes of text scored at once.
+SCORED = 2 << 20
 #: Levels: a count c stands at level 1 + floor(log(c) / log(base)).
 UNIGRAM_BASE, BIGRAM_BASE = 2**0.25, 2.0
 #: Weight, in counts, of the unigram model against what has been seen after the word before.
@@ -64,16 +66,14 @@ def build(keys: np.ndarray, counts: np.ndarray, base: float, bits_each: float) -
 class Filter:
     """The parts' filters end to end. A key's part is known from its high bits, so it is probed in one place."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], parts: int, base: float):
+    def __init__(self, rows: Iterator[tuple[int, bytes]], sizes: dict[int, int], base: float, parts: int):
         self.parts, self.base = parts, base
-        self.bits = np.zeros(parts, np.uint64)
-        self.start = np.zeros(parts, np.int64)
-        at, blobs = 0, []
+        self.bits, self.start = np.zeros(parts, np.uint64), np.zeros(parts, np.int64)
+        self.data, at = np.empty(sum(sizes.values()), np.uint8), 0
         for part, blob in rows:
             self.bits[part], self.start[part] = len(blob) * 8, at
-            blobs.append(blob)
+            self.data[at : at + len(blob)] = np.frombuffer(blob, np.uint8)
             at += len(blob)
-        self.data = np.frombuffer(b"".join(blobs), np.uint8)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Probe level after level, until one isn't there."""
@@ -228,7 +228,7 @@ def _unigram_filter(bits_each: float):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs = [build(np.frombuffer(k, np.uint64), unplanes(t), UNIGRAM_BASE, bits_each).tobytes() for k, t in zip(batch["keys"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["part"], pa.array(blobs, pa.binary())], names=["part", "bits"])
+            yield pa.RecordBatch.from_arrays([batch["part"], pa.array([len(x) for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "size", "bits"])
 
     return made
 
@@ -251,7 +251,7 @@ def _score(unigrams, bigrams, total: int, distinct: int, starts: int, first: boo
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = unigrams.value, bigrams.value
         for batch in batches:
-            for a, b in pieces(batch["_text"], CHUNK):
+            for a, b in pieces(batch["_text"], SCORED):
                 part = batch.slice(a, b - a)
                 seq, bounds = _tokens(part["_text"])
                 known, where = np.unique(seq, return_inverse=True)
@@ -270,6 +270,17 @@ def _score(unigrams, bigrams, total: int, distinct: int, starts: int, first: boo
     return made
 
 
+def _sizes(table: DataFrame) -> dict[int, int]:
+    """Bytes of each part's filter: a row for each of at most 4096 parts."""
+    return {r[0]: r[1] for r in table.select("part", "size").orderBy("part").collect()}
+
+
+def _gathered(table: DataFrame, sizes: dict[int, int], base: float, parts: int) -> Filter:
+    """The filter of the parts in sizes, whose sum has been checked; taken a few partitions at a time."""
+    own = table.filter(F.col("part").between(min(sizes), max(sizes))).select("part", "bits").coalesce(8) if sizes else table.limit(0).select("part", "bits")
+    return Filter(((r[0], bytes(r[1])) for r in own.toLocalIterator()), sizes, base, parts)
+
+
 def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: its id (long), held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -290,32 +301,32 @@ def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_co
     parts = part_count(spark)
     held = F.col(held_out) if held_out else remainder(F.col(id_col), modulus) == 0
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(id_col, text_col).alias("_k"), held.alias("_held"), F.col(text_col).alias("_text"))
-    cut = settle(rows.mapInArrow(_cut(parts), _CUT), "tokens")
-    counted = settle(cut.filter("part >= 0").select("chunk", "part", "words", "counts").groupBy("part").applyInArrow(_count, "chunk long, part int, counts binary, n long, v long, insertions long, keys binary, totals binary"), "counts")
+    cut = settle(rows.mapInArrow(tidied(_cut(parts)), _CUT), "tokens")
+    counted = settle(cut.filter("part >= 0").select("chunk", "part", "words", "counts").groupBy("part").applyInArrow(tidied(_count), "chunk long, part int, counts binary, n long, v long, insertions long, keys binary, totals binary"), "counts")
     sums = counted.filter("chunk is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("insertions"), F.lit(0))).first()
     total, distinct, insertions = map(int, sums)
     starts = rows.filter("not _held").count()
     each = min(BITS, BROADCAST_BYTES / 4 * 8 / max(1, insertions))
-    few = counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(_unigram_filter(each), "part int, bits binary").collect()  # at most BROADCAST_BYTES / 4
-    unigrams = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in few], parts, UNIGRAM_BASE))
-    table = settle(rows.select("_held", "_text").mapInArrow(_pairs(parts), "part int, pairs binary, counts binary").groupBy("part").applyInArrow(_pair_filter, "part int, size long, bits binary"), "bigrams")
-    sizes = table.select("part", "size").orderBy("part").collect()  # a row for each of at most 4096 parts
-    passes, room = [[]], 0
-    for part, size in sizes:
+    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter(each)), "part int, size long, bits binary"), "unigrams")
+    table = settle(rows.select("_held", "_text").mapInArrow(tidied(_pairs(parts)), "part int, pairs binary, counts binary").groupBy("part").applyInArrow(tidied(_pair_filter), "part int, size long, bits binary"), "bigrams")
+    unigrams = spark.sparkContext.broadcast(_gathered(few, _sizes(few), UNIGRAM_BASE, parts))
+    passes, room = [{}], 0
+    for part, size in _sizes(table).items():
         if room + size > BROADCAST_BYTES and passes[-1]:
-            passes.append([])
+            passes.append({})
             room = 0
-        passes[-1].append(part)
+        passes[-1][part] = size
         room += size
     scored = None
     for k, own in enumerate(passes):
-        some = table.filter(F.col("part").between(own[0], own[-1])).select("part", "bits").collect() if own else []
-        bigrams = spark.sparkContext.broadcast(Filter([(r[0], bytes(r[1])) for r in some], parts, BIGRAM_BASE))
-        one = rows.select("_k", "_text").mapInArrow(_score(unigrams, bigrams, total, distinct, starts, k == 0), "_k long, _part double").withColumn("_pass", F.lit(k))
+        bigrams = spark.sparkContext.broadcast(_gathered(table, own, BIGRAM_BASE, parts))
+        one = settle(rows.select("_k", "_text").mapInArrow(tidied(_score(unigrams, bigrams, total, distinct, starts, k == 0)), "_k long, _part double"), "scores").withColumn("_pass", F.lit(k))
+        bigrams.destroy()  # the executors' memory is free again before the next pass
         scored = one if scored is None else scored.unionByName(one)
+    unigrams.destroy()
     model = scored.groupBy("_k", "_pass").agg(F.max("_part").alias("_part")).groupBy("_k").agg(F.sum("_part").alias("score"))  # repeated rows score alike
     both = cut.filter("part < 0").select("chunk", "part", "ids", "keys", "held", "lengths", "spots").unionByName(counted.filter("chunk is not null").select("chunk", "part", "counts"), allowMissingColumns=True)
-    base = both.groupBy("chunk").applyInArrow(_base, "_id long, _k long, held_out boolean, n_tokens long, n_known long, _sum double")
+    base = both.groupBy("chunk").applyInArrow(tidied(_base), "_id long, _k long, held_out boolean, n_tokens long, n_known long, _sum double")
     scale = math.log10(total + 0.1 * (distinct + 1))
     return base.join(model, "_k").select(
         F.col("_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("_sum") - F.col("n_tokens") * scale).alias("base_score"), "score"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import remainder
 from .lm import END, _before
-from .words import BASE, mix, pieces, word_hashes
+from .words import BASE, mix, pieces, tidied, word_hashes
 
 #: Labelled rows of each class that the models are fitted on at most: those of least hash. This bounds the fitting
 #: task and the model; it is the only bound, and scoring covers every row.
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modul
         model = fit(texts, np.concatenate([np.zeros(0, np.int32), *(b["_label"].to_numpy() for b in got)]), both)
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
-    return bytes(rows.select("_text", "_label").coalesce(1).mapInArrow(fitted, "model binary").first()[0])
+    return bytes(rows.select("_text", "_label").coalesce(1).mapInArrow(tidied(fitted), "model binary").first()[0])
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
@@ -192,7 +192,7 @@ def score(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(models.score(*_tokens(part.column(at))), pa.float64())], names=[*part.schema.names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
-    return left.mapInArrow(made, f"{schema}, score double")
+    return left.mapInArrow(tidied(made), f"{schema}, score double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

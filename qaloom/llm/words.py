@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +20,46 @@ INVERSE = pow(BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except AttributeError:  # only glibc has it
+    _trim = None
+
+
+def tidy() -> None:
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def tidied(work):
+    """work, a function for mapInArrow or applyInArrow, that gives its memory back to the system when it is done:
+    Python workers live on between tasks, and would keep it."""
+
+    if inspect.isgeneratorfunction(work):
+
+        @functools.wraps(work)
+        def run(batches):
+            yield from work(batches)
+            tidy()
+    elif len(inspect.signature(work).parameters) == 2:
+
+        @functools.wraps(work)
+        def run(left, right):
+            out = work(left, right)
+            tidy()
+            return out
+    else:
+
+        @functools.wraps(work)
+        def run(table):
+            out = work(table)
+            tidy()
+            return out
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64."""
     x = x ^ (x >> np.uint64(30))
@@ -34,7 +77,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE and its inverse to the powers 0 to n - 1, modulo 2**64."""
     if len(_powers[0]) < n:
         for k, base in enumerate((BASE, INVERSE)):
-            steps = np.full(max(n, 1 << 21), base, np.uint64)
+            steps = np.full(n + (1 << 16), base, np.uint64)
             steps[0] = 1
             _powers[k] = np.cumprod(steps)
     return _powers[0][:n], _powers[1][:n]
