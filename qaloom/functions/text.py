@@ -134,9 +134,8 @@ def flatten_lines(text: Column) -> Column:
 def paragraph_lines(text: Column) -> Column:
     """Stripped lines, runs of blank ones as one, blank ends cut off, all joined by two newlines."""
     lines = F.transform(F.split(text, LINE_BREAK, -1), strip)
-    kept = F.filter(lines, lambda x, i: (x != "") | ((i > 0) & (F.get(lines, i - 1) != "")))
-    joined = F.array_join(kept, "\n\n")
-    return F.regexp_replace(joined, r"^\n+|\n+\z", "")
+    kept = bind(lines, lambda a: F.filter(a, lambda x, i: (x != "") | ((i > 0) & (F.get(a, i - 1) != ""))))
+    return F.regexp_replace(F.array_join(kept, "\n\n"), r"^\n+|\n+\z", "")
 
 
 def real_documents(documents: Column) -> Column:
