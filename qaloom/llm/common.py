@@ -32,6 +32,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """df in no more partitions than so many rows need: what is small is then read, and joined, as small."""
+    return df.coalesce(rows // each + 1) if rows // each + 1 < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     """settle, with the rows in so many buckets by column: what joins or groups them by column later doesn't
     shuffle them again."""

@@ -5,26 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, sized
 
 
 def components(links: DataFrame, name: str = "labels") -> DataFrame:
     """node, label for each end of the links (src, dst): label is the least node that can be reached.
 
-    Each round takes the least label among a node and its neighbours, then the label of that label, so long
-    chains halve. A round is one table in the shared folder; the driver sees only whether anything changed. A
-    node with very many links is a join key (AQE splits it) and has its minimum summed up before the shuffle.
-    No links, or links with null ends, give no rows.
+    Each round maps every node to the least of itself and its neighbours, the links' ends with it, and drops links
+    within one node and repeated ones; so links shrink from round to round, and a node with very many neighbours is
+    gone after the first. A round's tables are written to the shared folder in as many files as their rows need;
+    Spark broadcasts those under its size limit, and shuffles the others. The driver sees only how many links are
+    left. No links, or links with null ends, give no rows.
     """
-    links = links.select("src", "dst").filter("src is not null and dst is not null")
-    both = settle(links.union(links.select("dst", "src")).distinct(), f"{name}-links")
-    now = both.groupBy("src").agg(F.min("dst").alias("low")).select(F.col("src").alias("node"), F.least("src", "low").alias("label"))
+    left = settle(links.select("src", "dst").filter("src is not null and dst is not null"), f"{name}-links")
+    rows, whole = left.count(), None
+    nodes = 2 * rows
     while True:
-        now = settle(now, name)
-        heard = both.join(now.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "label", F.lit(None).cast(now.schema["label"].dataType).alias("had"))
-        least = heard.unionByName(now.withColumn("had", F.col("label"))).groupBy("node").agg(F.min("label").alias("label"), F.max("had").alias("had"))
-        ahead = now.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        then = settle(least.join(ahead, "label", "left").select("node", F.least("label", "further").alias("label"), "had"), name)
-        if not then.filter(F.col("label") != F.col("had")).limit(1).count():
-            return then.select("node", "label")
-        now = then.select("node", "label")
+        both = left.union(left.select("dst", "src"))
+        least = both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("label"))
+        step = settle(sized(least, 2 * rows), f"{name}-step")
+        if whole is None:
+            whole = step
+        else:
+            onward = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            whole = settle(sized(whole.join(onward, "label", "left").select("node", F.coalesce("further", "label").alias("label")), nodes), name)
+        ends = step.select(F.col("node").alias("src"), F.col("label").alias("one")), step.select(F.col("node").alias("dst"), F.col("label").alias("two"))
+        mapped = left.join(ends[0], "src").join(ends[1], "dst").filter("one <> two")
+        left = settle(sized(mapped.select(F.least("one", "two").alias("src"), F.greatest("one", "two").alias("dst")).distinct(), rows), f"{name}-links")
+        rows = left.count()
+        if not rows:
+            return whole

@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import join_spread, settle, sized
 from .components import components
-from .words import BASE, mix, pieces, shingles, word_hashes
+from .words import BASE, mix, pieces, shingles, tidied, word_hashes
 
 #: 32 bands of 5 registers: a pair at similarity 0.85 is missed once in 1e8, one at 0.8 once in 3e5.
 BANDS, ROWS, MANTISSA = 32, 5, 10
@@ -20,8 +20,12 @@ K = BANDS * ROWS
 FLOOR = 0.5
 #: Bytes of row keys, at 16 each, up to which they go to every executor; beyond, the texts are shuffled to them.
 BROADCAST_BYTES = 64 << 20
-#: Rounds in which each open group is compared with one hub; what is open then is compared in blocks.
-ROUNDS, BLOCK = 4, 48
+#: Nodes of a block; groups of more than HUB nodes are compared with one hub first, in so many rounds.
+BLOCK, HUB, ROUNDS = 256, 4096, 1
+#: Rows with full sets that a task takes at least.
+SETS = 4000
+#: Registers in use from which an estimate may rule out a pair, and the deviations under the threshold for that.
+SURE, DEVIATIONS = 40, 6
 _probes = (mix(np.arange(2048 * K, dtype=np.uint64) + np.uint64(77)) % np.uint64(K)).astype(np.int64).reshape(2048, K)
 
 
@@ -119,8 +123,12 @@ def _full_sets(k: int):
     return made
 
 
+def _regs_of(rows) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint16).reshape(-1, K)
+
+
 def _regs(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, K)
+    return _regs_of(column.to_pylist())
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,76 +156,90 @@ def _to_hub(percent: int):
 
 
 def _in_blocks(percent: int):
-    """Each row against the block of open rows beside it; a link is told once for each open row and batch."""
+    """Two blocks of nodes against each other: links that join what isn't joined yet within the two, so one less than
+    there are nodes at most. Sketches rule out pairs first; the others are confirmed on full sets."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = 1 - percent / 100 + 1e-9
+        limit = percent / 100
         for batch in batches:
-            src, dst, told = [], [], set()
-            for node, own, j, regs, block in zip(*(batch[c].to_pylist() for c in ("node", "set", "j", "regs", "block")), strict=True):
-                mine, reg = np.frombuffer(own, np.uint64), np.frombuffer(regs, np.uint16)
-                for other in block:
-                    x = other["node"]
-                    # similarity is one less a metric: both distances from the hub bound it, and so do the sizes
-                    if x == node or x in told and j is not None or j is not None and abs(other["j"] - j) > least:
-                        continue
-                    theirs = np.frombuffer(other["set"], np.uint64)
-                    if 100 * min(len(mine), len(theirs)) < percent * max(len(mine), len(theirs)):
+            src, dst = [], []
+            for i in range(batch.num_rows):
+                left, right = (batch[c].slice(i, 1).to_pylist()[0] for c in ("block_a", "block_b"))
+                a, b = (_regs_of(x["regs"] for x in block)[None if k else slice(None), slice(None) if k else None] for k, block in enumerate((left, right)))
+                n_a, n_b = np.array([len(x["set"]) for x in left])[:, None], np.array([len(x["set"]) for x in right])[None, :]
+                near = np.minimum(n_a, n_b) >= limit * np.maximum(n_a, n_b) - 1e-6
+                used = np.maximum(((a > 0) | (b > 0)).sum(axis=2), 1)
+                near &= (used < SURE) | (((a == b) & (a > 0)).sum(axis=2) / used >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / used))
+                if left[0]["j"] is not None:  # similarity is one less a metric, so distances from the hub bound it
+                    near &= np.abs(np.array([x["j"] for x in left])[:, None] - np.array([x["j"] for x in right])[None, :]) <= 1 - limit + 1e-9
+                    joined = dict.fromkeys((x["node"] for x in left), b"")  # linked with the hub, so with each other
+                else:
+                    joined = {x["node"]: x["node"] for x in left}
+                joined |= {x["node"]: x["node"] for x in right if x["node"] not in joined}
+                for k, m in zip(*np.nonzero(near), strict=True):
+                    x, y = left[k], right[m]
+                    one, two = joined[x["node"]], joined[y["node"]]
+                    if one == two:
                         continue
-                    if min(len(mine), len(theirs)) >= 2 * K and (reg == np.frombuffer(other["regs"], np.uint16)).mean() < FLOOR:
-                        continue
-                    met, union = _jaccard(mine, theirs)
+                    met, union = _jaccard(np.frombuffer(x["set"], np.uint64), np.frombuffer(y["set"], np.uint64))
                     if 100 * met >= percent * union:
-                        src.append(node)
-                        dst.append(x)
-                        told.add(x)
+                        src.append(x["node"])
+                        dst.append(y["node"])
+                        joined = {n: one if c == two else c for n, c in joined.items()}
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], names=["src", "dst"])
 
     return made
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """cid, block: the rows of each group in lists of some BLOCK."""
-    sized = rows.join(rows.groupBy("cid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "cid")
-    return sized.groupBy("cid", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")).agg(F.collect_list(F.struct("node", "j", "regs", "set")).alias("block")).drop("part")
+def _blocks(rows: DataFrame, name: str) -> DataFrame:
+    """cid, part, and the rows of each group in lists of some BLOCK."""
+    counted = rows.join(rows.groupBy("cid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "cid")
+    return counted.groupBy("cid", F.pmod(F.xxhash64("node"), F.col("parts")).alias(f"part_{name}")).agg(F.collect_list(F.struct("node", "j", "regs", "set")).alias(f"block_{name}"))
 
 
-def _verified(members: DataFrame, percent: int) -> DataFrame:
+def _verified(members: DataFrame, many: int, percent: int) -> DataFrame:
     """The links (src, dst) within each group cid that give its true components.
 
-    Each round picks as hub the open row that shares most bands, and confirms every open row against it on full
-    sets: m - 1 confirmations, not m squared. Linked rows are then one component. An open row that isn't linked
-    can only link to them if it lies within twice the distance and the distances differ by no more than one
-    (1 - similarity is a metric); such rows are compared in blocks. The rest stay open. Rows that are open after
-    ROUNDS are compared with each other in blocks; so every pair that could link has been ruled out or compared.
+    A group of up to HUB rows is compared in blocks, by sketch and then on full sets. A larger one first takes as
+    hub the row that shares most bands, and confirms every row against it on full sets. Linked rows are then
+    one component. A row that isn't linked can only link to them if it lies within twice the distance and the
+    distances differ by no more than one (1 - similarity is a metric); such rows are compared with them in blocks.
+    What is still open is compared with itself in blocks. So every pair that could link has been ruled out or
+    compared, a task holds a block and a batch, and only links are told, not pairs.
     """
-    links, open_rows = [], members
-    for turn in range(ROUNDS + 1):
-        sizes = open_rows.groupBy("cid").agg(F.count("*").alias("m"), F.max(F.struct("score", "node")).alias("top")).filter("m > 1")
-        if not sizes.limit(1).count():
-            break
-        if turn == ROUNDS:
-            left = open_rows.join(sizes.select("cid"), "cid").withColumn("j", F.lit(None).cast("double"))
-            links.append(settle(left.join(_blocks(left), "cid").select("node", "set", "j", "regs", "block").mapInArrow(_in_blocks(percent), "src binary, dst binary"), "links"))
-            break
-        hubs = open_rows.join(sizes.select("cid", F.col("top.node").alias("node")), ["cid", "node"]).select("cid", F.col("node").alias("hub"), F.col("set").alias("hub_set"))
-        seen = settle(open_rows.join(hubs, "cid").select("cid", "node", "hub", "set", "hub_set").mapInArrow(_to_hub(percent), "cid binary, node binary, hub binary, j double, linked boolean"), "hubs")
+    counted = members.join(members.groupBy("cid").agg(F.count("*").alias("m"), F.max(F.struct("score", "node")).alias("top")), "cid")
+    counted = settle(sized(counted, many, SETS), "counted")
+    large, open_rows, links = counted.filter(F.col("m") > HUB), counted.filter(F.col("m") <= HUB), []
+    some = large.count()
+    for turn in range(ROUNDS if some else 0):
+        top = large if turn == 0 else large.drop("top").join(large.groupBy("cid").agg(F.max(F.struct("score", "node")).alias("top")), "cid")
+        hubs = top.filter(F.col("node") == F.col("top.node")).select("cid", F.col("node").alias("hub"), F.col("set").alias("hub_set"))
+        seen = settle(sized(join_spread(top, hubs, ["cid"], F.col("node")).select("cid", "node", "hub", "set", "hub_set").mapInArrow(tidied(_to_hub(percent)), "cid binary, node binary, hub binary, j double, linked boolean"), some, SETS), "hubs")
         links.append(seen.filter("linked and node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")))
         apart = seen.filter("not linked").select("cid", "node", "j")
-        if not apart.limit(1).count():
-            break
         close = apart.filter(F.col("j") >= 2 * percent / 100 - 1 - 1e-9)
-        if close.limit(1).count():
-            inside = seen.filter("linked").join(close.select("cid").distinct(), "cid", "left_semi").select("cid", "node", "j")
-            against = _blocks(open_rows.join(close, ["cid", "node"]))
-            links.append(settle(open_rows.join(inside, ["cid", "node"]).join(against, "cid").select("node", "set", "j", "regs", "block").mapInArrow(_in_blocks(percent), "src binary, dst binary"), "links"))
-        open_rows = settle(open_rows.join(apart.select("cid", "node"), ["cid", "node"]), "open")
+        inside = seen.filter("linked").select("cid", "node", "j")
+        told = _compared(large.drop("j").join(inside, ["cid", "node"]), large.drop("j").join(close, ["cid", "node"]), percent)
+        links.append(settle(sized(told, some, SETS), "links"))
+        large = settle(sized(large.drop("j").join(apart.select("cid", "node"), ["cid", "node"]), some, SETS), "open")
+    open_rows = open_rows.unionByName(large) if some else open_rows
+    alike = open_rows.withColumn("j", F.lit(None).cast("double"))
+    links.append(_compared(alike, None, percent))
     made = links[0]
     for more in links[1:]:
         made = made.unionByName(more)
     return made
 
 
+def _compared(rows: DataFrame, others: DataFrame | None, percent: int) -> DataFrame:
+    """Links between rows and others of a group, or, without others, among the rows."""
+    blocks = _blocks(rows, "a")
+    against = _blocks(others, "b") if others is not None else blocks.withColumnsRenamed({"part_a": "part_b", "block_a": "block_b"})
+    pairs = blocks.join(against, "cid")
+    pairs = pairs if others is not None else pairs.filter("part_a <= part_b")
+    return pairs.select("block_a", "block_b").mapInArrow(tidied(_in_blocks(percent)), "src binary, dst binary")
+
+
 def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id, n_shingles (long), component_id, kept, and _k, the row's content hash.
 
@@ -237,22 +259,25 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(id_col, text_col).alias("_k"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    sketches = settle(rows.mapInArrow(_sketch(k), "_id long, _k long, n long, node binary, bands array<long>, regs binary"), "sketches")
+    sketches = settle(rows.mapInArrow(tidied(_sketch(k)), "_id long, _k long, n long, node binary, bands array<long>, regs binary"), "sketches")
     nodes = settle(sketches.filter("n > 0").select("node", "n", "bands", "regs", "_k").dropDuplicates(["node"]), "nodes")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     pivots = bands.groupBy("band").agg(F.min("node").alias("src"), F.max("node").alias("most")).filter("src <> most").select("band", "src")
     stars = bands.join(pivots, "band").filter("node <> src").groupBy("src", F.col("node").alias("dst")).agg(F.count("*").alias("shared"))
     known = lambda end, tag: nodes.select(F.col("node").alias(end), F.col("regs").alias(f"regs_{tag}"), F.col("n").alias(f"n_{tag}"))
-    near = settle(stars.join(known("src", "a"), "src").join(known("dst", "b"), "dst").mapInArrow(_estimated, "src binary, dst binary, shared long, near double").filter(F.col("near") >= FLOOR), "near")
+    near = settle(stars.join(known("src", "a"), "src").join(known("dst", "b"), "dst").mapInArrow(tidied(_estimated), "src binary, dst binary, shared long, near double").filter(F.col("near") >= FLOOR), "near")
     base = sketches.select("_id", "_k", "n", "node")
-    if near.limit(1).count():
+    links = near.count()
+    if links:
         score = near.select(F.col("src").alias("node"), "shared").unionByName(near.select(F.col("dst").alias("node"), "shared")).groupBy("node").agg(F.sum("shared").alias("score"))
-        listed = settle(components(near, "candidates").withColumnRenamed("label", "cid").join(score, "node").join(nodes.select("node", "regs", "_k"), "node"), "listed")
+        found = settle(sized(components(near, "candidates").withColumnRenamed("label", "cid").join(score, "node"), 2 * links), "found")
+        listed = settle(sized(nodes.select("node", "regs", "_k").join(found, "node"), 2 * links), "listed")
         keys = listed.select("_k").distinct()
-        keys = F.broadcast(keys) if listed.count() * 16 <= BROADCAST_BYTES else keys
-        sets = rows.join(keys, "_k", "left_semi").select("_k", "_text").mapInArrow(_full_sets(k), "_k long, node binary, set binary").select("node", "set").dropDuplicates(["node"])
-        members = settle(listed.select("node", "cid", "score", "regs").join(sets, "node"), "members")
-        labels = components(_verified(members, percent), "labels").withColumnRenamed("label", "root")
+        many = listed.count()
+        keys = F.broadcast(keys) if many * 16 <= BROADCAST_BYTES else keys
+        sets = rows.join(keys, "_k", "left_semi").select("_k", "_text").mapInArrow(tidied(_full_sets(k)), "_k long, node binary, set binary").select("node", "set").dropDuplicates(["node"])
+        members = settle(sized(sets.join(listed.select("node", "cid", "score", "regs"), "node"), many, SETS), "members")
+        labels = components(_verified(members, many, percent), "labels").withColumnRenamed("label", "root")
     else:
         labels = spark.createDataFrame([], "node binary, root binary")
     rooted = base.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

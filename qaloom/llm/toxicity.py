@@ -173,7 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modul
         model = fit(texts, np.concatenate([np.zeros(0, np.int32), *(b["_label"].to_numpy() for b in got)]), both)
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
-    return bytes(rows.select("_text", "_label").coalesce(1).mapInArrow(tidied(fitted), "model binary").first()[0])
+    made = rows.select("_text", "_label").coalesce(1).mapInArrow(tidied(fitted), "model binary").first()
+    return bytes(made[0]) if made else fit(pa.array([], pa.string()), np.zeros(0, np.int32), both).dump()  # no partition at all
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
