@@ -23,11 +23,14 @@ def scores(segments: DataFrame, keys: list[str], index: str = "seg_idx", segment
     own, group = [*keys, index], Window.partitionBy(*keys)
     cut = segments.select(*own, tokens(F.col(segment)).alias("_t"), tokens(F.col(question)).alias("_q")).withColumn("_dl", F.size("_t"))
     cut = cut.withColumns({"_n": F.count("*").over(group), "_avgdl": F.avg("_dl").over(group)})
-    tf = cut.select(*own, "_q", "_dl", "_n", "_avgdl", F.explode("_t").alias("_term")).groupBy(*own, "_term").agg(F.count("*").alias("_tf"), *[F.first(c).alias(c) for c in ("_q", "_dl", "_n", "_avgdl")])
+    terms = cut.select(*own, "_q", "_dl", "_n", "_avgdl", F.explode("_t").alias("_term"))
+    asked = F.when(F.array_contains("_q", F.col("_term")), F.size(F.filter("_q", lambda q: q == F.col("_term")))).otherwise(0)
+    # a segment's scalars ride along as grouping columns, so that the counts are a hash aggregate
+    tf = terms.select(*own, "_dl", "_n", "_avgdl", "_term", asked.alias("_qn")).groupBy(*own, "_dl", "_n", "_avgdl", "_term", "_qn").agg(F.count("*").alias("_tf"))
     counted = tf.withColumn("_df", F.count("*").over(Window.partitionBy(*keys, "_term")))
     plain = counted.withColumn("_idf", F.log(F.col("_n") - F.col("_df") + 0.5) - F.log(F.col("_df") + 0.5))
     mean = plain.withColumn("_mean", F.sum(F.col("_idf") / F.col("_df")).over(group) / F.sum(F.lit(1.0) / F.col("_df")).over(group))
-    asked = mean.withColumn("_qn", F.size(F.filter("_q", lambda q: q == F.col("_term")))).filter("_qn > 0")
+    asked = mean.filter("_qn > 0")
     weight = F.col("_qn") * F.when(F.col("_idf") < 0, EPSILON * F.col("_mean")).otherwise(F.col("_idf"))
     part = weight * F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("_dl") / F.col("_avgdl")))
     summed = asked.groupBy(*own).agg(F.sum(part).alias("score"))

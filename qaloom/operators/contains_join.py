@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a needle that must match first, and of a text looked at together.
-ANCHOR, PIECE = 12, 256
+#: Characters of an anchor, and the distance between the anchors of a text.
+ANCHOR, STRIDE = 12, 16
 
 
 def contains_join(texts: DataFrame, needles: DataFrame, text: str = "text", needle: str = "needle") -> DataFrame:
@@ -14,16 +14,19 @@ def contains_join(texts: DataFrame, needles: DataFrame, text: str = "text", need
     first occurrence in the lower-cased text. Empty and null needles and null texts match nothing. Columns of both
     sides stay; their names must differ.
 
-    Every occurrence begins with the needle's first ANCHOR characters (all of a shorter one), so an equi-join on
-    those finds candidates, and locate() confirms them. Texts are cut into overlapping pieces, so the work is linear in
-    a text's length; the side of the anchors is small, and AQE broadcasts it if its size allows.
+    A text gives an anchor of ANCHOR characters at every STRIDE-th place. A long needle, wherever it lies, covers one of
+    these places with one of its first STRIDE anchors, so an equi-join on anchors finds every candidate, and locate()
+    confirms them. Needles too short for that are met at every place, by as many first characters as they have, up
+    to ANCHOR. Work is linear in a text's length; AQE broadcasts the needles' side if its size allows.
     """
-    low = needles.withColumn("_needle", F.lower(F.col(needle))).filter("_needle <> ''").withColumn("_anchor", F.substring("_needle", 1, ANCHOR))
-    lengths = sorted(r[0] for r in low.select(F.length("_anchor").alias("n")).distinct().collect())  # at most ANCHOR rows
+    low = needles.withColumn("_needle", F.lower(F.col(needle))).filter("_needle <> ''").withColumn("_long", F.length("_needle") >= ANCHOR + STRIDE - 1)
+    offsets = F.when(F.col("_long"), F.sequence(F.lit(1), F.lit(STRIDE))).otherwise(F.array(F.lit(1)))
+    anchored = low.withColumn("_anchor", F.explode(F.array_distinct(F.transform(offsets, lambda o: F.substring("_needle", o, F.lit(ANCHOR)))))).drop("_long")
+    kinds = low.select("_long", F.least(F.length("_needle"), F.lit(ANCHOR)).alias("n")).distinct().collect()  # a row for each length up to ANCHOR, and one
+    cuts = {(STRIDE if k["_long"] else 1, k["n"]) for k in kinds}
     rows = texts.withColumn("_low", F.lower(F.col(text))).filter("_low is not null")
-    pieces = rows.select("*", F.explode(F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{1,{PIECE + ANCHOR}}})).{{1,{PIECE}}}"), F.lit(1))).alias("_piece"))
-    grams = F.array_distinct(F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.least(F.length("_piece"), F.lit(PIECE))), lambda i: F.substring(F.col("_piece"), i, F.lit(n))) for n in lengths]))) if lengths else F.array().cast("array<string>")
-    met = pieces.select(*texts.columns, "_low", F.explode(grams).alias("_anchor")).join(low, "_anchor")
+    grams = [F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{n}}})).{{1,{stride}}}"), F.lit(1)) for stride, n in sorted(cuts)]
+    met = rows.select("*", F.explode(F.array_distinct(F.concat(*grams) if grams else F.array().cast("array<string>"))).alias("_anchor")).join(anchored, "_anchor")
     place = F.call_function("locate", F.col("_needle"), F.col("_low")) - 1
     keys = [*texts.columns, *needles.columns]
     return met.withColumn("chars", place).filter("chars >= 0").select(*keys, "chars").dropDuplicates(keys)
