@@ -294,3 +294,16 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col:
 
 def query(docs: DataFrame) -> DataFrame:
     return groups(docs.select("doc_id", "text"), percent=85).drop("_k")
+
+
+#: Brute force: every pair that shares a shingle, and a recursion over the links.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * m >= 85 * (len(x.s) + len(y.s) - m)),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) USING (doc_id)
+"""

@@ -22,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": chat.SQL, "op6_line_dedup": line_dedup.SQL, "op8_decontaminate": decontam.SQL, "op10_secret_scan": secret_scan.SQL}
+    return {"op1_near_dedup": minhash.SQL, "op3_chat_format": chat.SQL, "op6_line_dedup": line_dedup.SQL, "op8_decontaminate": decontam.SQL, "op10_secret_scan": secret_scan.SQL}
