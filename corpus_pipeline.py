@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.llm import bpe, decontam, line_dedup, minhash, toxicity
-from qaloom.llm.common import settle, table
+from qaloom.llm.common import settle, settled, sweep, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """What the last stage makes of all the others' rows. After each stage, what it left in the shared folder goes."""
+    docs, since = table(spark, sf_dir, "documents"), settled()
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        sweep(spark, since, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -24,10 +24,30 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_written: list[str] = []
+
+
+def settled() -> int:
+    """How many tables this process has settled and not swept."""
+    return len(_written)
+
+
+def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete what has been settled after the first `since` tables, but for what keep reads. For callers who know that
+    nothing else waits to be computed from those, such as a pipeline whose stage has been written."""
+    inputs = keep.inputFiles()
+    for path in [p for p in _written[since:] if not any(f"/{p.rsplit('/', 1)[-1]}/" in x for x in inputs)]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        spark.sql(f"DROP TABLE IF EXISTS `{path.rsplit('/', 1)[-1]}`")
+        _written.remove(path)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there, so a lost executor costs only
     the tasks that read it, and Python work before it is never repeated."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/qaloom-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -42,6 +62,7 @@ def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     shuffle them again."""
     name = f"qaloom_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
+    _written.append(path)
     df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -62,8 +83,8 @@ def row_key(df: DataFrame, *columns: str) -> list[Column]:
     return [F.xxhash64(*given).alias("_k1"), F.xxhash64(F.lit("second"), *given[::-1]).alias("_k2")]
 
 
-def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], spread: Column, salts: int = 16) -> DataFrame:
-    """rows left-joined with side, which has a row for each key: a key's rows are dealt to so many tasks by spread, and
+def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], spread: Column, salts: int = 16, how: str = "left") -> DataFrame:
+    """rows joined with side, which has a row for each key: a key's rows are dealt to so many tasks by spread, and
     side's row goes to each. Both sides are shuffled for this join alone, so AQE can split what is still too large."""
     salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], "left").drop("_salt")
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
