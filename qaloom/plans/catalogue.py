@@ -6,6 +6,9 @@ absent text for odd ones; its metadata cell holds the address of the page of the
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from ..operators.bm25 import scores, top_segments, two_stage
 from ..operators.contains_join import contains_join
 from ..operators.judge import pick
 from ..sources.fetch import Reply, fetch, with_text
-from ..sources.files import remaining
+from ..sources.files import legacy_documents, read_csv, remaining, write_csv
 from . import acquire, extract, profile
 
 
@@ -287,11 +290,43 @@ def long_answer_judge(s, d):
     return extract.extract(profiled(s, d), make_judge=fake_judge).select("row_id", "long_answer")
 
 
+def csv_roundtrip(s, d):
+    """The conversations, written as CSV and read back."""
+    base = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="qaloom-csv-")
+    path = f"{base.rstrip('/')}/qaloom-csv-{uuid.uuid4().hex}"
+    write_csv(table(s, d, "conversations").select("conv_id", "turn", "role", "text"), path)
+    return read_csv(s, path, "conv_id long, turn long, role string, text string")
+
+
+LEGACY = [
+    "['a', ' ', 'b\"c']", '["x", "it\'s"]', "plain text", "'one'", "[]", None, "5", "['multi\\nline']", "  ['padded']  ",
+]
+
+
+def legacy_cells(s, d):
+    rows = s.createDataFrame(list(enumerate(LEGACY)), "id long, cell string")
+    read = rows.withColumns({"loose": legacy_documents(F.col("cell")), "strict": legacy_documents(F.col("cell"), strict=True)})
+    return read.select("id", F.array_join("loose", "|").alias("loose"), F.array_join("strict", "|").alias("strict"))
+
+
+def wiki_requests(s, d):
+    asked = urls.wiki_api(F.col("url"))
+    return addresses(s, d).select("url", asked["address"].alias("address"), asked["titles"].alias("titles"))
+
+
+def html_paragraphs(s, d):
+    return table(s, d, "pages").select("page_id", html.html_paragraphs(F.col("html")).alias("text"))
+
+
+def fill_ratio(s, d):
+    return extract.fill_ratio(extract.extract(profiled(s, d)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         word_count, bm25_tokens, answer_position, answer_first_document, chunks, paragraphs, segments, paragraph_at_position, context_window, bm25_scores, bm25_topk, bm25_two_stage, long_answer_no_judge,
         judge_reply_parse, url_format, format_histogram, valid_urls, wiki_urls, wiki_title, url_dedup_cache, metadata_urls, event_props, html_text, html_text_parsed, content_dispatch, profile_columns,
-        profile_summary, run_report, limit_rows, restart_remaining, fetch_fake, acquire_fake, pdf_fake, judge_fake, long_answer_judge,
+        profile_summary, run_report, limit_rows, restart_remaining, fetch_fake, acquire_fake, pdf_fake, judge_fake, long_answer_judge, csv_roundtrip, legacy_cells, wiki_requests, html_paragraphs, fill_ratio,
     )
 }

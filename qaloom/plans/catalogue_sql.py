@@ -182,4 +182,8 @@ ORACLES = {
 SELECT *, total_rows - failed_rows AS ok_rows, lookups - total_requests AS cached_requests, round(100.0::DOUBLE * failed_rows / total_rows, 6) AS failed_percent, round(100.0::DOUBLE * (lookups - total_requests) / lookups, 6) AS cache_efficiency FROM r""",
     "limit_rows": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 10",
     "restart_remaining": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+    "csv_roundtrip": "SELECT conv_id, turn, role, text FROM conversations",
+    "legacy_cells": """SELECT * FROM (VALUES (0, 'a|b"c', 'a|b"c'), (1, 'x|it''s', 'x|it''s'), (2, 'plain text', ''), (3, 'one', 'one'), (4, '', ''), (5, '', ''), (6, '', ''), (7, 'multi' || chr(10) || 'line', 'multi' || chr(10) || 'line'), (8, 'padded', 'padded')) AS t(id, loose, strict)""",
+    "wiki_requests": f"WITH {ADDRESSES} SELECT url, 'https://' || CASE WHEN contains({host('url')}, '.wikipedia.org') THEN string_split({host('url')}, '.')[1] ELSE 'en' END || '.wikipedia.org/w/api.php' AS address, {_TITLE} AS titles FROM addresses",
+    "fill_ratio": f"WITH {_LONG.replace('SELECT row_id, coalesce(passage', 'SELECT count(*) FILTER (WHERE coalesce(passage').replace(', segment, ' + chr(39) + chr(39) + ') AS long_answer FROM', ', segment, ' + chr(39) + chr(39) + ') <> ' + chr(39) + chr(39) + ') AS filled, count(*) AS total FROM')}",
 }
