@@ -34,7 +34,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and text, decoded from the ids."""
     ranks = bpe.default_ranks()
-    done = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, bpe.default_pattern()), ranks)
+    done = bpe.encode(docs.select("doc_id", "text"), ranks, bpe.default_pattern(), back=True)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import CHUNK, chunk_ids, part_count, planes, squeeze, unplanes, unsqueeze
@@ -107,6 +107,23 @@ def _encode_words(ranks, pattern: str):
     return made
 
 
+def _texts(lists: pa.ListArray, look: dict[int, bytes]) -> list[bytes]:
+    """The bytes of each list of ids, end to end."""
+    return [b"".join(map(look.__getitem__, ids.values.to_numpy().tolist() if ids.is_valid else ())) for ids in lists]
+
+
+def _assembled(table):
+    """_assemble, with the ids decoded in the same task if the table of tokens' bytes is given."""
+
+    def made(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = _assemble(docs, answers)
+        if table is None:
+            return out
+        return out.append_column("decoded", pa.array(_texts(out["ids"].combine_chunks(), table.value), pa.binary()))
+
+    return made
+
+
 def _assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """One chunk: its positions, and the ids of its words from every part."""
     doc, told = docs.to_pylist()[0], sorted(answers.to_pylist(), key=lambda r: r["part"])
@@ -126,8 +143,9 @@ def _assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.table({"_id": pa.array(doc["ids"], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))})
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: its id (long) and ids, the token ids of the text in order (array<int>).
+def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
+    """One row for each row of docs: its id (long) and ids, the token ids of the text in order (array<int>); with
+    back, also `decoded`, as decode() makes it of the ids, but in the task that laid them out.
 
     Each match of pattern is a word; a word's ids depend on the ranks only; no special tokens. Null or empty
     text: no ids. Null and repeated ids, repeated rows: ordinary, one row each. An empty table gives an empty
@@ -148,14 +166,20 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     asked = cut.select("chunk", F.explode("asked").alias("a")).select("chunk", "a.part", "a.words", "a.sizes")
     answers = asked.groupBy("part").applyInArrow(tidied(_encode_words(kept, pattern)), "chunk long, part int, words binary, sizes binary")
     placed = cut.select("chunk", "ids", "lengths", "spots", "order").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return placed.applyInArrow(tidied(_assemble), "_id long, ids array<int>").withColumnRenamed("_id", id_col)
+    table = token_bytes(spark, ranks) if back else None
+    return placed.applyInArrow(tidied(_assembled(table)), "_id long, ids array<int>" + ", decoded binary" * back).withColumnRenamed("_id", id_col)
+
+
+def token_bytes(spark: SparkSession, ranks: bytes):
+    """The table of a token's bytes, a row for each rank: of fixed size, and so broadcast."""
+    return spark.sparkContext.broadcast({i: b for b, i in read_ranks(ranks).items()})
 
 
 def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
     """encoded, with `decoded` (binary): the bytes of its ids, end to end. The table of a token's bytes has one row
     for each rank, fixed in size, and is joined as an array in each task. Null ids: no bytes; an id that isn't in the
     table fails the job, as it can't come from these ranks."""
-    table = encoded.sparkSession.sparkContext.broadcast({i: b for b, i in read_ranks(ranks).items()})
+    table = token_bytes(encoded.sparkSession, ranks)
     at = encoded.columns.index(ids_col)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +188,7 @@ def decode(encoded: DataFrame, ranks: bytes, ids_col: str = "ids") -> DataFrame:
             lists = batch.column(at)
             for a in range(0, len(lists), 256):
                 part = batch.slice(a, 256)
-                texts = [b"".join(map(look.__getitem__, ids.values.to_numpy().tolist() if ids.is_valid else ())) for ids in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_texts(part.column(at), look), pa.binary())], names=[*part.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "decoded")
     return encoded.mapInArrow(tidied(made), f"{schema}, decoded binary")
@@ -186,7 +209,7 @@ def default_pattern() -> str:
 
 def query(docs: DataFrame) -> DataFrame:
     ranks = default_ranks()
-    done = decode(encode(docs.select("doc_id", "text"), ranks, default_pattern()), ranks)
+    done = encode(docs.select("doc_id", "text"), ranks, default_pattern(), back=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

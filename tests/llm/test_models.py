@@ -147,6 +147,8 @@ def test_bpe_is_the_librarys(spark):
     got = Counter(tuple(r) for r in bpe.query(spark.createDataFrame([(*r, "x") for r in rows], KIND + ", ids string")).collect())
     assert got == Counter(bpe.brute_force(rows, bpe.default_ranks(), bpe.default_pattern()))
     assert bpe.query(docs.limit(0)).count() == 0
+    again = bpe.decode(bpe.encode(docs, bpe.default_ranks(), bpe.default_pattern()), bpe.default_ranks())
+    assert Counter((r["doc_id"], bytes(r["decoded"])) for r in again.collect()) == Counter((i, (t or "").encode()) for i, t in rows)
 
 
 def test_toxicity(spark):
