@@ -192,12 +192,12 @@ def _in_blocks(percent: int):
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """cid, part, and the rows of each group in lists of some BLOCK."""
-    counted = rows.join(rows.groupBy("cid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "cid")
-    return counted.groupBy("cid", F.pmod(F.xxhash64("node"), F.col("parts")).alias(f"part_{name}")).agg(F.collect_list(F.struct("node", "j", "regs", "set")).alias(f"block_{name}"))
+    """cid, part, parts, and the rows of each group (of m nodes) in `parts` lists of some BLOCK."""
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    return rows.groupBy("cid", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias(f"part_{name}")).agg(F.collect_list(F.struct("node", "j", "regs", "set")).alias(f"block_{name}"))
 
 
-def _verified(members: DataFrame, many: int, percent: int) -> DataFrame:
+def _verified(members: DataFrame, percent: int) -> DataFrame:
     """The links (src, dst) within each group cid that give its true components.
 
     A group of up to HUB rows is compared in blocks, by sketch and then on full sets. A larger one first takes as
@@ -207,9 +207,7 @@ def _verified(members: DataFrame, many: int, percent: int) -> DataFrame:
     What is still open is compared with itself in blocks. So every pair that could link has been ruled out or
     compared, a task holds a block and a batch, and only links are told, not pairs.
     """
-    counted = members.join(members.groupBy("cid").agg(F.count("*").alias("m"), F.max(F.struct("score", "node")).alias("top")), "cid")
-    counted = settle(sized(counted, many, SETS), "counted")
-    large, open_rows, links = counted.filter(F.col("m") > HUB), counted.filter(F.col("m") <= HUB), []
+    large, open_rows, links = members.filter(F.col("m") > HUB), members.filter(F.col("m") <= HUB), []
     some = large.count()
     for turn in range(ROUNDS if some else 0):
         top = large if turn == 0 else large.drop("top").join(large.groupBy("cid").agg(F.max(F.struct("score", "node")).alias("top")), "cid")
@@ -233,10 +231,11 @@ def _verified(members: DataFrame, many: int, percent: int) -> DataFrame:
 
 def _compared(rows: DataFrame, others: DataFrame | None, percent: int) -> DataFrame:
     """Links between rows and others of a group, or, without others, among the rows."""
-    blocks = _blocks(rows, "a")
-    against = _blocks(others, "b") if others is not None else blocks.withColumnsRenamed({"part_a": "part_b", "block_a": "block_b"})
-    pairs = blocks.join(against, "cid")
-    pairs = pairs if others is not None else pairs.filter("part_a <= part_b")
+    left = _blocks(rows, "a")
+    right = (_blocks(others, "b") if others is not None else left.withColumnsRenamed({"part_a": "part_b", "block_a": "block_b"})).drop("parts")
+    first = F.lit(0) if others is not None else F.col("part_a")
+    # by group and block, so that the pairs of a large group's blocks are dealt to many tasks
+    pairs = left.withColumn("part_b", F.explode(F.sequence(first, F.col("parts") - 1))).join(right, ["cid", "part_b"])
     return pairs.select("block_a", "block_b").mapInArrow(tidied(_in_blocks(percent)), "src binary, dst binary")
 
 
@@ -271,13 +270,15 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
     if links:
         score = near.select(F.col("src").alias("node"), "shared").unionByName(near.select(F.col("dst").alias("node"), "shared")).groupBy("node").agg(F.sum("shared").alias("score"))
         found = settle(sized(components(near, "candidates").withColumnRenamed("label", "cid").join(score, "node"), 2 * links), "found")
-        listed = settle(sized(nodes.select("node", "regs", "_k").join(found, "node"), 2 * links), "listed")
+        sizes = found.groupBy("cid").agg(F.count("*").alias("m"), F.max(F.struct("score", "node")).alias("top"))
+        found = join_spread(found, sizes, ["cid"], F.col("node"))  # before the sets: a group's rows are small here
+        listed = settle(nodes.select("node", "regs", "_k").join(found, "node"), "listed")  # not sized: it reads all nodes
         keys = listed.select("_k").distinct()
         many = listed.count()
         keys = F.broadcast(keys) if many * 16 <= BROADCAST_BYTES else keys
         sets = rows.join(keys, "_k", "left_semi").select("_k", "_text").mapInArrow(tidied(_full_sets(k)), "_k long, node binary, set binary").select("node", "set").dropDuplicates(["node"])
-        members = settle(sized(sets.join(listed.select("node", "cid", "score", "regs"), "node"), many, SETS), "members")
-        labels = components(_verified(members, many, percent), "labels").withColumnRenamed("label", "root")
+        members = settle(sized(sets.join(listed.select("node", "cid", "score", "regs", "m", "top"), "node"), many, SETS), "members")
+        labels = components(_verified(members, percent), "labels").withColumnRenamed("label", "root")
     else:
         labels = spark.createDataFrame([], "node binary, root binary")
     rooted = base.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
