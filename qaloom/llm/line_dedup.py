@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, row_key
+from .common import fold_ascii, join_spread, row_key
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -29,7 +29,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
     Plan: explode the distinct line hashes of each row (128 bits), count with map-side partial sums, keep hashes
     over the threshold, join them to the exploded (row, position, hash), gather the positions to drop by row, and
     join those to the texts. Only hashes and positions meet by line, so a line that a third of all rows holds
-    moves no text; AQE splits that key in the join. Python runs nowhere.
+    moves no text; its rows are dealt to 16 tasks in the join. Python runs nowhere.
     """
     extra = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]
     kept = F.struct(*[F.col(f"`{c}`") for c in extra]).alias("_rest") if extra else F.lit(None).cast("string").alias("_rest")
@@ -43,9 +43,9 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
         .filter("l is not null").select("l.h1", "l.h2").groupBy("h1", "h2").agg(F.count("*").alias("n"))
         .filter(F.col("n") >= min_docs).select("h1", "h2")
     )
+    placed = lines.select("_k1", "_k2", F.posexplode("_lines").alias("pos", "l")).filter("l is not null").select("_k1", "_k2", "pos", "l.h1", "l.h2")
     dropped = (
-        lines.select("_k1", "_k2", F.posexplode("_lines").alias("pos", "l")).filter("l is not null")
-        .select("_k1", "_k2", "pos", "l.h1", "l.h2").join(common, ["h1", "h2"])
+        join_spread(placed, common, ["h1", "h2"], F.col("_k1"), how="inner")
         .groupBy("_k1", "_k2").agg(F.collect_set("pos").alias("_drop"))
     )
     split = F.split("_text", "\n", -1)
