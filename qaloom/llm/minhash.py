@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,11 +132,64 @@ def _regs(column: pa.Array) -> np.ndarray:
     return _regs_of(column.to_pylist())
 
 
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            near = estimate(_regs(batch["regs_a"]), _regs(batch["regs_b"]), batch["n_a"].to_numpy(), batch["n_b"].to_numpy())
-            yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"], batch["shared"], pa.array(near)], names=["src", "dst", "shared", "near"])
+def _ruled_in(same: np.ndarray, used: np.ndarray, limit: float) -> np.ndarray:
+    """Whether a pair at the threshold could have so few agreeing registers, out of those in use."""
+    return (used < SURE) | (same / np.maximum(used, 1) >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)))
+
+
+def _settled(x: np.ndarray, y: np.ndarray, limit: float) -> np.ndarray:
+    """Whether y agrees with its pivot x so well that whatever links with y has an estimate of FLOOR or more with x:
+    such a row differs from y in few registers, and agrees with x in all others in which y does."""
+    own = (y > 0).sum(axis=1)
+    far = 1 - limit + DEVIATIONS * np.sqrt(limit * (1 - limit) / np.maximum(own, 1))
+    differ = far * np.minimum(K, own / np.maximum(1 - far, 0.01))
+    used, same = ((x > 0) | (y > 0)).sum(axis=1), ((x == y) & (x > 0)).sum(axis=1)
+    return (own >= SURE) & (same - differ >= (FLOOR + 0.01) * np.minimum(K, used + differ))
+
+
+def _estimated(percent: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = _regs(batch["regs_a"]), _regs(batch["regs_b"])
+                near = estimate(x, y, batch["n_a"].to_numpy(), batch["n_b"].to_numpy())
+                yield pa.RecordBatch.from_arrays([batch["src"], batch["dst"], batch["shared"], pa.array(near), pa.array(_settled(x, y, percent / 100))], names=["src", "dst", "shared", "near", "settled"])
+
+    return made
+
+
+def _in_buckets(percent: int):
+    """Two blocks of one bucket against each other: candidates that join what isn't joined yet. Rows joined with the
+    bucket's pivot are one already; two guests meet in the size class below."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = percent / 100
+        for batch in batches:
+            src, dst = [], []
+            for i in range(batch.num_rows):
+                both = [batch[c].slice(i, 1).to_pylist()[0] for c in ("block_a", "block_b")]
+                n, joined, guest = ([np.array([x[f] for x in block]) for block in both] for f in ("n", "joined", "guest"))
+                near = np.minimum(n[0][:, None], n[1][None, :]) >= limit * np.maximum(n[0][:, None], n[1][None, :]) - 1e-6
+                k, m = np.nonzero(near & ~(joined[0][:, None] & joined[1][None, :]) & ~(guest[0][:, None] & guest[1][None, :]))
+                regs, kept = [_regs_of(x["regs"] for x in block) for block in both], []
+                for at in range(0, len(k), 1 << 14):
+                    one, two = k[at : at + (1 << 14)], m[at : at + (1 << 14)]
+                    x, y = regs[0][one], regs[1][two]
+                    used, same = ((x > 0) | (y > 0)).sum(axis=1), ((x == y) & (x > 0)).sum(axis=1)
+                    ok = _ruled_in(same, used, limit)
+                    ok[ok] = estimate(x[ok], y[ok], n[0][one[ok]], n[1][two[ok]]) >= FLOOR
+                    kept.append(np.stack([one[ok], two[ok]]))
+                label = {x["node"]: b"" if x["joined"] else x["node"] for block in both for x in block}
+                for one, two in np.concatenate(kept, axis=1).T.tolist() if kept else []:
+                    a, b = both[0][one]["node"], both[1][two]["node"]
+                    if label[a] != label[b]:
+                        src.append(a)
+                        dst.append(b)
+                        gone, stays = label[a], label[b]
+                        label = {x: stays if c == gone else c for x, c in label.items()}
+            yield pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], names=["src", "dst"])
+
+    return made
 
 
 def _jaccard(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
@@ -169,7 +223,7 @@ def _in_blocks(percent: int):
                 n_a, n_b = np.array([len(x["set"]) for x in left])[:, None], np.array([len(x["set"]) for x in right])[None, :]
                 near = np.minimum(n_a, n_b) >= limit * np.maximum(n_a, n_b) - 1e-6
                 used = np.maximum(((a > 0) | (b > 0)).sum(axis=2), 1)
-                near &= (used < SURE) | (((a == b) & (a > 0)).sum(axis=2) / used >= limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / used))
+                near &= _ruled_in(((a == b) & (a > 0)).sum(axis=2), used, limit)
                 if left[0]["j"] is not None:  # similarity is one less a metric, so distances from the hub bound it
                     near &= np.abs(np.array([x["j"] for x in left])[:, None] - np.array([x["j"] for x in right])[None, :]) <= 1 - limit + 1e-9
                     joined = dict.fromkeys((x["node"] for x in left), b"")  # linked with the hub, so with each other
@@ -191,6 +245,29 @@ def _in_blocks(percent: int):
     return made
 
 
+def _left_over(told: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidates (src, dst) that the buckets' pivots don't show. told: the stars with their bands, near and settled.
+
+    A bucket whose pivot is unlike one of its members isn't done: that member may link with any other but the settled
+    ones. So these, and the members joined with the pivot but not settled, are compared in blocks by sketch. Sizes of
+    linked rows differ by a factor of percent at most, so rows meet by bucket and size class, and as guests one above.
+    """
+    rest = told.filter("not settled").select(F.explode("bands").alias("band"), F.col("dst").alias("node"), (F.col("near") >= FLOOR).alias("joined"))
+    undone = rest.groupBy("band").agg(F.count("*").alias("_n"), F.bool_and("joined").alias("_all")).filter("_n > 1 and not _all").select("band")
+    step = max(-math.log(max(percent, 1) / 100) * 1.001, 0.001)
+    kind = F.floor(F.log("n") / step).cast("int")
+    listed = rest.join(undone, "band").join(nodes.select("node", "n", "regs", kind.alias("kind")), "node")
+    dealt = listed.withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("kind", F.col("kind") + F.col("guest").cast("int"))
+    sizes = dealt.groupBy("band", "kind").agg(F.count("*").alias("m"), F.bool_and("joined").alias("_all"), F.bool_and("guest").alias("_guests")).filter("m > 1 and not _all and not _guests").select("band", "kind", "m")
+    open_rows = join_spread(dealt, sizes, ["band", "kind"], F.col("node"), how="inner")
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    left = open_rows.groupBy("band", "kind", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("part_a")).agg(F.collect_list(F.struct("node", "joined", "guest", "n", "regs")).alias("block_a"))
+    left = settle(left, "buckets")
+    right = left.withColumnsRenamed({"part_a": "part_b", "block_a": "block_b"}).drop("parts")
+    pairs = left.withColumn("part_b", F.explode(F.sequence("part_a", F.col("parts") - 1))).join(right, ["band", "kind", "part_b"])
+    return pairs.select("block_a", "block_b").mapInArrow(tidied(_in_buckets(percent)), "src binary, dst binary")
+
+
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
     """cid, part, parts, and the rows of each group (of m nodes) in `parts` lists of some BLOCK."""
     parts = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -252,7 +329,8 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
 
     Plan: (1) one Python pass makes sketches, some 600 bytes a row, in a table of the shared folder; (2) equal sets
     become one node, so groups of copies shrink to one row before anything is paired; (3) nodes that share a band
-    meet its least node only (a star, not all pairs) and stay if the collision-corrected estimate is FLOOR or more;
+    meet its least node first (a star, not all pairs) and stay if the collision-corrected estimate is FLOOR or more;
+    what that leaves undone in a bucket is compared in blocks, see _left_over;
     (4) components of these stars are groups to confirm; only their texts are read again; (5) see _verified;
     (6) components of the confirmed links, and the least id of each.
     """
@@ -262,9 +340,13 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
     nodes = settle(sketches.filter("n > 0").select("node", "n", "bands", "regs", "_k").dropDuplicates(["node"]), "nodes")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     pivots = bands.groupBy("band").agg(F.min("node").alias("src"), F.max("node").alias("most")).filter("src <> most").select("band", "src")
-    stars = bands.join(pivots, "band").filter("node <> src").groupBy("src", F.col("node").alias("dst")).agg(F.count("*").alias("shared"))
+    stars = bands.join(pivots, "band").filter("node <> src").groupBy("src", F.col("node").alias("dst")).agg(F.count("*").alias("shared"), F.collect_list("band").alias("bands"))
     known = lambda end, tag: nodes.select(F.col("node").alias(end), F.col("regs").alias(f"regs_{tag}"), F.col("n").alias(f"n_{tag}"))
-    near = settle(stars.join(known("src", "a"), "src").join(known("dst", "b"), "dst").mapInArrow(tidied(_estimated), "src binary, dst binary, shared long, near double").filter(F.col("near") >= FLOOR), "near")
+    stars = settle(stars, "stars")
+    told = stars.drop("bands").join(known("src", "a"), "src").join(known("dst", "b"), "dst").mapInArrow(tidied(_estimated(percent)), "src binary, dst binary, shared long, near double, settled boolean")
+    told = settle(told, "told")
+    more = _left_over(told.filter("not settled").join(stars.drop("shared"), ["src", "dst"]), nodes, percent)
+    near = settle(told.filter(F.col("near") >= FLOOR).select("src", "dst", "shared").unionByName(more.withColumn("shared", F.lit(1).cast("long"))), "near")
     base = sketches.select("_id", "_k", "n", "node")
     links = near.count()
     if links:

@@ -82,6 +82,21 @@ def test_near_dedup_edges(spark):
     assert kept.columns == df.columns and kept.count() == 3
 
 
+def hot_rows():
+    """Two near copies that consist of a hot passage, which many longer documents hold."""
+    rng = random.Random(52)
+    passage = [f"p52_{i}" for i in range(65)]
+    rows = [(i, " ".join([*passage, *(f"x{rng.randrange(10**9)}" for _ in range(80))])) for i in range(3000)]
+    return [*rows, (9000, " ".join(passage)), (9001, " ".join([*passage[:61], "q1", "q2", "q3", "q4"]))]
+
+
+@pytest.mark.parametrize("block", [minhash.BLOCK, 16])
+def test_near_copies_of_a_hot_passage(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.query(spark.createDataFrame(hot_rows(), KIND)).collect()}
+    assert {i: c for i, c in got.items() if i != c} == {9001: 9000} and len(got) == 3002
+
+
 def test_components_of_a_chain(spark):
     order = list(range(200))
     random.Random(1).shuffle(order)
