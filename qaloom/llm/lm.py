@@ -17,7 +17,7 @@ from .words import BASE, mix, pieces, tidied, word_hashes
 #: Bits for each insertion and probes for each: one false answer in 45.
 BITS, PROBES = 8, 5
 #: Bytes of filter that go to every executor at once. Bigrams beyond that are scored in so many passes; unigrams
-#: beyond it get fewer bits each, down to what fits: the error grows, nothing is left out.
+#: beyond a quarter of it aren't sent, their filters answer the chunks by part.
 BROADCAST_BYTES = 256 << 20
 #: Bytes of text scored at once.
 SCORED = 2 << 20
@@ -245,8 +245,22 @@ def _base(table: pa.Table) -> pa.Table:
     return pa.table({"_id": pa.array(doc["ids"], pa.int64()), "_k": pa.array(doc["keys"], pa.int64()), "held_out": pa.array(doc["held"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()), "_sum": pa.array(sums, pa.float64())})
 
 
-def _score(unigrams, bigrams, total: int, distinct: int, starts: int, first: bool):
-    """For each text the model's log10 probability; in a pass after the first, only what its bigrams add."""
+def _sums(seq: np.ndarray, bounds: np.ndarray, counts: np.ndarray, two: Filter, total: int, distinct: int, starts: int, first: bool) -> np.ndarray:
+    """For each text the model's log10 probability, from its tokens and their counts; in a pass after the first, only
+    what its bigrams add."""
+    alone = (counts + 0.1) / (total + 0.1 * (distinct + 1))
+    after = np.empty(len(seq))
+    after[1:] = counts[:-1]
+    after[bounds[:-1]] = starts
+    pairs, at = np.unique(pair_keys(_before(seq, bounds), seq), return_inverse=True)
+    both = np.minimum(two.count(pairs)[at], np.minimum(after, counts))
+    unseen = np.log10(PRIOR * alone / (after + PRIOR))
+    value = np.log10((both + PRIOR * alone) / (after + PRIOR))
+    return np.add.reduceat(value if first else value - unseen, bounds[:-1])
+
+
+def _score(unigrams, bigrams, *model):
+    """The sums of each text, with the unigram filter at hand."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = unigrams.value, bigrams.value
@@ -255,17 +269,47 @@ def _score(unigrams, bigrams, total: int, distinct: int, starts: int, first: boo
                 part = batch.slice(a, b - a)
                 seq, bounds = _tokens(part["_text"])
                 known, where = np.unique(seq, return_inverse=True)
-                counts = one.count(known)
-                alone = (counts[where] + 0.1) / (total + 0.1 * (distinct + 1))
-                after = np.empty(len(seq))
-                after[1:] = counts[where][:-1]
-                after[bounds[:-1]] = starts
-                pairs, at = np.unique(pair_keys(_before(seq, bounds), seq), return_inverse=True)
-                both = np.minimum(two.count(pairs)[at], np.minimum(after, counts[where]))
-                unseen = np.log10(PRIOR * alone / (after + PRIOR))
-                value = np.log10((both + PRIOR * alone) / (after + PRIOR))
-                sums = np.add.reduceat(value if first else value - unseen, bounds[:-1])
-                yield pa.RecordBatch.from_arrays([part["_k"], pa.array(sums, pa.float64())], names=["_k", "_part"])
+                yield pa.RecordBatch.from_arrays([part["_k"], pa.array(_sums(seq, bounds, one.count(known)[where], two, *model), pa.float64())], names=["_k", "_part"])
+
+    return made
+
+
+def _answered(parts: int):
+    """A part's filter, asked for the tokens of each chunk."""
+
+    def made(words: pa.Table, filters: pa.Table) -> pa.Table:
+        blobs = [(r["part"], r["bits"]) for r in filters.select(["part", "bits"]).to_pylist()]
+        one = Filter(iter(blobs), {p: len(x) for p, x in blobs}, UNIGRAM_BASE, parts)
+        levels = [planes(one.level(np.frombuffer(x, np.uint64))) for x in words["words"].to_pylist()]
+        return pa.table({"chunk": words["chunk"], "part": words["part"], "words": words["words"], "levels": pa.array(levels, pa.binary())})
+
+    return made
+
+
+def _whole(table: pa.Table) -> pa.Table:
+    """One chunk: its texts' keys and tokens, its distinct tokens and their levels."""
+    doc, *rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+    levels = planes(np.concatenate([unplanes(r["levels"]) for r in rows]))
+    return pa.table({"keys": pa.array([doc["keys"]], pa.list_(pa.int64())), **{c: pa.array([x], pa.binary()) for c, x in (("lengths", doc["lengths"]), ("spots", doc["spots"]), ("words", b"".join(r["words"] for r in rows)), ("levels", levels))}})
+
+
+def _score_whole(bigrams, *model):
+    """The sums of each text, from chunks that know their tokens' levels."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        two = bigrams.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                known, where = np.frombuffer(row["words"], np.uint64), unplanes(row["spots"])
+                counts = middle(unplanes(row["levels"]), UNIGRAM_BASE)
+                bounds, a = np.concatenate([[0], np.cumsum(unplanes(row["lengths"]))]), 0
+                while a < len(bounds) - 1:
+                    b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + SCORED // 6, "right")) - 1)
+                    own = where[bounds[a] : bounds[b]]
+                    sums = _sums(known[own], bounds[a : b + 1] - bounds[a], counts[own], two, *model)
+                    yield pa.RecordBatch.from_arrays([pa.array(row["keys"][a:b], pa.int64()), pa.array(sums, pa.float64())], names=["_k", "_part"])
+                    a = b
 
     return made
 
@@ -295,7 +339,8 @@ def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_co
     Plan: exact counts: distinct tokens of each chunk shuffle to parts by hash, are summed, and answer the chunks
     (chunks.py). Bigrams: 6 bytes for each distinct one of a chunk shuffle to parts; each part builds its own piece
     of the filter. The filters' sizes are summed first; up to BROADCAST_BYTES go to every executor at once, more in
-    several passes over the texts (the passes' sums add up to the score). Texts themselves are never shuffled.
+    several passes over the texts (the passes' sums add up to the score). Unigram filters beyond a quarter of it answer
+    the chunks by part instead, with the same bits. Texts themselves are never shuffled.
     """
     spark = docs.sparkSession
     parts = part_count(spark)
@@ -306,10 +351,16 @@ def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_co
     sums = counted.filter("chunk is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("insertions"), F.lit(0))).first()
     total, distinct, insertions = map(int, sums)
     starts = rows.filter("not _held").count()
-    each = min(BITS, BROADCAST_BYTES / 4 * 8 / max(1, insertions))
-    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter(each)), "part int, size long, bits binary"), "unigrams")
+    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter(BITS)), "part int, size long, bits binary"), "unigrams")
     table = settle(rows.select("_held", "_text").mapInArrow(tidied(_pairs(parts)), "part int, pairs binary, counts binary").groupBy("part").applyInArrow(tidied(_pair_filter), "part int, size long, bits binary"), "bigrams")
-    unigrams = spark.sparkContext.broadcast(_gathered(few, _sizes(few), UNIGRAM_BASE, parts))
+    unigrams = whole = None
+    if insertions * BITS / 8 <= BROADCAST_BYTES / 4:
+        unigrams = spark.sparkContext.broadcast(_gathered(few, _sizes(few), UNIGRAM_BASE, parts))
+    else:  # the same filters answer by part
+        asked = cut.filter("part >= 0").select("chunk", "part", "words").groupBy("part").cogroup(few.select("part", "bits").groupBy("part"))
+        told = asked.applyInArrow(tidied(_answered(parts)), "chunk long, part int, words binary, levels binary")
+        told = cut.filter("part < 0").select("chunk", "part", "keys", "lengths", "spots").unionByName(told, allowMissingColumns=True)
+        whole = settle(told.groupBy("chunk").applyInArrow(tidied(_whole), "keys array<long>, lengths binary, spots binary, words binary, levels binary"), "levels")
     passes, room = [{}], 0
     for part, size in _sizes(table).items():
         if room + size > BROADCAST_BYTES and passes[-1]:
@@ -320,10 +371,13 @@ def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_co
     scored = None
     for k, own in enumerate(passes):
         bigrams = spark.sparkContext.broadcast(_gathered(table, own, BIGRAM_BASE, parts))
-        one = settle(rows.select("_k", "_text").mapInArrow(tidied(_score(unigrams, bigrams, total, distinct, starts, k == 0)), "_k long, _part double"), "scores").withColumn("_pass", F.lit(k))
+        model = bigrams, total, distinct, starts, k == 0
+        part = rows.select("_k", "_text").mapInArrow(tidied(_score(unigrams, *model)), "_k long, _part double") if whole is None else whole.mapInArrow(tidied(_score_whole(*model)), "_k long, _part double")
+        one = settle(part, "scores").withColumn("_pass", F.lit(k))
         bigrams.destroy()  # the executors' memory is free again before the next pass
         scored = one if scored is None else scored.unionByName(one)
-    unigrams.destroy()
+    if unigrams:
+        unigrams.destroy()
     model = scored.groupBy("_k", "_pass").agg(F.max("_part").alias("_part")).groupBy("_k").agg(F.sum("_part").alias("score"))  # repeated rows score alike
     both = cut.filter("part < 0").select("chunk", "part", "ids", "keys", "held", "lengths", "spots").unionByName(counted.filter("chunk is not null").select("chunk", "part", "counts"), allowMissingColumns=True)
     base = both.groupBy("chunk").applyInArrow(tidied(_base), "_id long, _k long, held_out boolean, n_tokens long, n_known long, _sum double")

@@ -145,6 +145,14 @@ def test_lm(spark, monkeypatch, bound):
     assert lm.query(spark.createDataFrame([], KIND)).count() == 0
 
 
+def test_lm_scores_alike_at_any_bound(spark, monkeypatch):
+    docs = spark.createDataFrame(lm_rows(), KIND)
+    want = {(r[0], r[2]): r["score"] for r in lm.query(docs).collect()}
+    monkeypatch.setattr(lm, "BROADCAST_BYTES", 2000)
+    got = {(r[0], r[2]): r["score"] for r in lm.query(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 * max(1, k[1]) for k in want)
+
+
 def test_filter_never_forgets():
     rng = np.random.default_rng(1)
     keys, counts = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(1, 5000, 3000)
