@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,8 @@ def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], spread: Colum
     side's row goes to each. Both sides are shuffled for this join alone, so AQE can split what is still too large."""
     salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [*keys, "_salt"], how).drop("_salt")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once: inside a lambda a plain expression would be evaluated for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

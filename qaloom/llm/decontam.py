@@ -5,84 +5,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii
+from .common import fold_ascii, join_spread, let, row_key, settle
 
-#: Bytes of window hashes, at 64 a window, up to which the set goes to every executor; beyond, the join shuffles.
+#: Bytes of window hashes, at 64 a window, up to which the set goes to every executor; beyond, the windows shuffle.
 BROADCAST_BYTES = 128 << 20
+#: Bytes of row keys, at 64 each, up to which the rows with hits are known to every executor; beyond, texts shuffle.
+KEY_BYTES = 64 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """Words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the A-Z-folded text; none of null."""
-    return F.filter(F.split(fold_ascii(F.coalesce(text, F.lit(""))), SEPARATORS, -1), lambda w: w != "")
+    return F.array_remove(F.split(fold_ascii(F.coalesce(text, F.lit(""))), SEPARATORS, -1), "")
 
 
-def windows(array: Column, length: int) -> Column:
-    """Hashes of every run of `length` words, by 0-based start."""
-    n = F.size(array)
-    starts = F.when(n >= length, F.sequence(F.lit(0), n - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(array, i + 1, length)))
+def window_hashes(array: Column, length: int) -> Column:
+    """The hash of every run of `length` words, by 0-based start: of two runs' hashes that of both together, so that
+    it takes a few steps a word, however long the run."""
+
+    def joined(a: Column, b: Column, ahead: int) -> Column:
+        return F.zip_with(a, F.slice(b, ahead + 1, F.size(b)), lambda x, y: F.xxhash64(x, y))
+
+    def grown(size: int, run: Column, done: Column | None, covered: int) -> Column:
+        # run: of `size` words, a power of 2; done: of `covered` words; what reaches beyond the text is cut at the end
+        if length & size:
+            done, covered = run if done is None else joined(done, run, covered), covered + size
+        if covered == length:
+            return F.slice(done, 1, F.greatest(F.size(done) - length + 1, F.lit(0)))
+        onward = lambda d: let(joined(run, run, size), lambda twice: grown(2 * size, twice, d, covered))
+        return onward(None) if done is None else let(done, onward)
+
+    return let(F.transform(array, lambda w: F.xxhash64(w)), lambda h: grown(1, h, None, 0))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
-    """h, length, gram (the window's words), items (distinct ids): one row for each distinct window. An item of
+    """gram (the window's words), length, items (distinct ids): one row for each distinct window. An item of
     fewer words than `window`, but not none, is one window; null ids count as the id ''."""
     cut = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
     length = F.least(F.size("w"), F.lit(window))
-    runs = cut.select("item", length.alias("length"), "w", F.explode(F.sequence(F.lit(1), F.size("w") - length + 1)).alias("i"))
-    gram = runs.select("item", "length", F.slice("w", F.col("i"), F.col("length")).alias("gram"))
-    return gram.groupBy("gram", "length").agg(F.collect_set("item").alias("items")).select(F.xxhash64("gram").alias("h"), "length", "gram", "items")
+    own = F.transform(F.sequence(F.lit(0), F.size("w") - length), lambda i: F.slice("w", i + 1, length))
+    gram = cut.select("item", length.alias("length"), F.explode(own).alias("gram"))  # the item's other words stay behind
+    return gram.groupBy("gram", "length").agg(F.collect_set("item").alias("items"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_text_col: str = "text") -> DataFrame:
-    """For each row of docs: its id, the text, n_words (long), hits (sorted 0-based word positions inside any
-    occurrence of a benchmark window), items (sorted ids, as text, of the items whose windows occur), and _k, a hash
-    of the id and text.
+    """For each row of docs: its id, n_words (long), hits (sorted 0-based word positions inside any occurrence of a
+    benchmark window), items (sorted ids, as text, of the items whose windows occur), and _k1, _k2, 128 bits of the
+    id and text.
 
     Null or wordless text: no words, no hits. Null and repeated ids, and repeated rows, are ordinary: one result
-    row for each row. Either table may be empty. Columns beyond the id and text are not looked at here.
+    row for each row. Either table may be empty. Columns beyond the id and text are not looked at here. Texts are
+    taken whole, in time and memory linear in their length.
 
     Plan: the distinct windows form a broadcast hash set when their counted number times 64 bytes is within
-    BROADCAST_BYTES, else the join shuffles by hash. Each text is cut, its windows hashed and probed within one
-    stage; a hit is confirmed on the words themselves, and only hits reach the aggregate by row.
+    BROADCAST_BYTES, else the windows shuffle by hash, a common one's rows dealt to 16 tasks. A text is cut once; of
+    each window only row key, place and hash leave the row, and rows met are written down: each text's count, and its
+    hits. Then only the texts with hits are read again, by their keys (broadcast if their counted number times 64
+    bytes is within KEY_BYTES), and every hit is confirmed on the words themselves.
     """
-    bench = benchmark_windows(benchmark, window, item_col, bench_text_col)
-    stated = bench.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("m")).orderBy("length").collect()  # a row for each length up to window
-    lengths, total = [r["length"] for r in stated], sum(r["n"] + r["m"] for r in stated)
-    cut = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(id_col, text_col).alias("_k"), words(F.col(text_col)).alias("_w"))
-    entry = lambda h, i, n: F.struct(h.alias("h"), i.alias("i"), F.lit(n).alias("length"))
-    probes = F.concat(
-        F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(-1).alias("i"), F.lit(0).alias("length"))),
-        *[F.transform(windows(F.col("_w"), n), lambda h, i: entry(h, i, n)) for n in lengths],
-    )
-    flat = cut.select("_id", "_k", "_text", "_w", F.explode(probes).alias("p")).select("_id", "_k", "_text", "_w", F.col("p.h").alias("h"), F.col("p.i").alias("i"), F.col("p.length").alias("length"))
-    side = F.broadcast(bench) if total * 64 <= BROADCAST_BYTES else bench
-    met = flat.join(side, ["h", "length"], "left").filter((F.col("i") < 0) | (F.slice("_w", F.greatest(F.col("i") + 1, F.lit(1)), F.col("length")) == F.col("gram")))
-    first = F.col("i") < 0
-    byrow = met.groupBy("_id", "_k").agg(
-        F.count(F.when(first, 1)).alias("copies"), F.max(F.when(first, F.col("_text"))).alias("_text"), F.max(F.when(first, F.size("_w"))).alias("n_words"),
-        F.collect_set(F.when(~first, F.struct("i", "length"))).alias("runs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    )
-    inside = F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["i"], r["i"] + r["length"] - 1)))))
-    one = byrow.select("_id", "_text", "_k", F.col("n_words").cast("long").alias("n_words"), inside.alias("hits"), F.array_sort("items").alias("items"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_one"))
-    return one.drop("_one").withColumnsRenamed({"_id": id_col, "_text": text_col})
+    bench = settle(benchmark_windows(benchmark, window, item_col, bench_text_col), "windows")
+    stated = bench.groupBy("length").agg(F.count("*").alias("n")).orderBy("length").collect()  # a row for each length up to window
+    lengths, total = [r["length"] for r in stated], sum(r["n"] for r in stated)
+    hashed = [F.when(F.col("length") == n, F.get(window_hashes(F.col("gram"), n), F.lit(0))) for n in lengths]
+    bench = bench.withColumn("h", F.coalesce(*hashed, F.lit(None).cast("long")))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    kind = "array<struct<length:int,n_words:int,hashes:array<bigint>>>"
+    made = lambda w: F.array(F.struct(F.lit(0), F.size(w), F.lit(None)), *[F.struct(F.lit(n), F.lit(0), window_hashes(w, n)) for n in lengths]).cast(kind)
+    cut = rows.select("_id", *row_key(rows, "_id", "_text"), F.inline(let(words(F.col("_text")), made)))
+    flat = cut.select("_id", "_k1", "_k2", "length", "n_words", F.posexplode_outer("hashes").alias("i", "h"))
+    known = bench.select("h", "length", F.lit(True).alias("_met")).distinct()
+    if total * 64 <= BROADCAST_BYTES:
+        met = flat.join(F.broadcast(known), ["h", "length"], "left").filter("_met or length = 0")
+    else:
+        far = join_spread(flat.filter("i is not null"), known, ["h", "length"], F.col("_k1"), how="inner")
+        met = flat.filter("length = 0").withColumn("_met", F.lit(None).cast("boolean")).unionByName(far)
+    met = settle(met, "met")
+    own = met.filter("length = 0").select("_id", "_k1", "_k2", F.col("n_words").cast("long").alias("n_words"))
+    # by row and window, so that a window's words and items come once for each row, however often it stands there
+    spots = met.filter("length > 0").groupBy("_k1", "_k2", "h", "length").agg(F.collect_set("i").alias("at"))
+    told = join_spread(spots, bench, ["h", "length"], F.col("_k1"), how="inner") if total * 64 > BROADCAST_BYTES else spots.join(F.broadcast(bench), ["h", "length"])
+    byrow = settle(told.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("gram", "length", "items", "at")).alias("told")), "hits")
+    keys = byrow.select("_k1", "_k2")
+    near = F.broadcast if byrow.count() * 64 <= KEY_BYTES else lambda x: x
+    texts = rows.select(*row_key(rows, "_id", "_text"), "_text").join(near(keys), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    read = texts.join(byrow, ["_k1", "_k2"]).select("_k1", "_k2", "told", words(F.col("_text")).alias("_w"))
+    sure = let(F.col("_w"), lambda w: F.transform("told", lambda t: F.struct(t["length"].alias("length"), t["items"].alias("items"), F.filter(t["at"], lambda i: F.slice(w, i + 1, t["length"]) == t["gram"]).alias("at"))))
+    checked = read.select("_k1", "_k2", F.filter(sure, lambda t: F.size(t["at"]) > 0).alias("sure"))
+    inside = F.flatten(F.transform("sure", lambda t: F.flatten(F.transform(t["at"], lambda i: F.sequence(i, i + t["length"] - 1)))))
+    final = settle(checked.select("_k1", "_k2", F.array_sort(F.array_distinct(inside)).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.transform("sure", lambda t: t["items"])))).alias("items")), "confirmed")
+    both = own.join(near(final), ["_k1", "_k2"], "left")
+    return both.select(F.col("_id").alias(id_col), "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), "_k1", "_k2")
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """docs without the rows in which a benchmark window occurs; columns and other rows stay as they are."""
-    bad = find(docs.select("doc_id", "text"), benchmark, window).filter(F.size("hits") > 0).select("_k").distinct()
-    return docs.withColumn("_k", F.xxhash64("doc_id", "text")).join(bad, "_k", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = find(docs.select("doc_id", "text"), benchmark, window).filter(F.size("hits") > 0).select("_k1", "_k2").distinct()
+    keyed = docs.select(*row_key(docs, "doc_id", "text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return keyed.join(bad, ["_k1", "_k2"], "left_anti").select("_row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """doc_id and text without the hit words: each maximal run of hit words goes with the separators after it.
     What stands before the first word always stays."""
-    found = find(docs, benchmark, window)
+    found = find(docs, benchmark, window).filter(F.size("hits") > 0).select("_k1", "_k2", "hits").dropDuplicates(["_k1", "_k2"])
+    found = docs.select("doc_id", "text", *row_key(docs, "doc_id", "text")).join(found, ["_k1", "_k2"], "left")
     part = F.expr(r"regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*', 0)")
     lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
     stay = F.array_except(F.sequence(F.lit(0), F.size(part) - 1), F.col("hits"))
     rest = F.array_join(F.transform(stay, lambda i: F.get(part, i)), "")
-    return found.select("doc_id", F.when(F.size("hits") == 0, F.col("text")).otherwise(F.concat(lead, rest)).alias("text"))
+    return found.select("doc_id", F.when(F.col("hits").isNull(), F.col("text")).otherwise(F.concat(lead, rest)).alias("text"))
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
