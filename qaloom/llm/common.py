@@ -94,3 +94,31 @@ def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], spread: Colum
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value evaluated once: inside a lambda a plain expression would be evaluated for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Entries of a block in running(); its cost grows with n * BLOCK and with the square of n / BLOCK.
+BLOCK = 256
+
+
+def running(steps: Column) -> Column:
+    """The sums of the entries before each, of an array of numbers: an array of long, as long as steps. Appending to a
+    list copies it, so entries are summed in blocks, then the blocks, and both are laid together."""
+    zero = F.array().cast("array<bigint>")
+    grown = F.struct(F.lit(0).cast("long").alias("at"), zero.alias("sums"))
+    push = lambda z, x: F.struct((z["at"] + x).alias("at"), F.concat(z["sums"], F.array(z["at"])).alias("sums"))
+
+    def laid(given: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(given) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(starts, lambda b: F.aggregate(F.slice(given, b * BLOCK + 1, BLOCK), grown, push))
+        whole = lambda own: let(F.aggregate(F.transform(own, lambda b: b["at"]), grown, push), lambda t: F.flatten(F.zip_with(own, t["sums"], lambda b, o: F.transform(b["sums"], lambda x: x + o))))
+        return let(blocks, whole)
+
+    return F.when(F.size(steps) > 0, let(F.transform(steps, lambda x: x.cast("long")), laid)).otherwise(zero)
+
+
+def values(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small table of numbers, strings and nulls, as SQL VALUES: no Python runs for it."""
+    told = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    names = ", ".join(c.split()[0] for c in schema.split(", "))
+    table = spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(told, r)) + ')' for r in rows)} AS t({names})")
+    return table.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")])

@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, row_key
+from .common import fold_ascii, let, row_key, running, settle, values
 
 
 
@@ -26,8 +26,9 @@ class Rule(NamedTuple):
 
 BASE = [
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    # `AKIA[A-Z0-9]+` of 20 and `[0-9a-f]+` of 24 or more: a shorter run holds no later match of that length
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]{24,}"),
 ]
 RULES = [
     *BASE,
@@ -35,6 +36,8 @@ RULES = [
     Rule("github", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 ]
+#: Bytes of candidates' keys, at 64 each, up to which they go to every executor; beyond, texts shuffle to them.
+KEY_BYTES = 64 << 20
 MOST = 64  # alternatives kept apart; beyond, the pieces are cut and each stands for itself
 
 
@@ -124,7 +127,7 @@ def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame | None:
     if not queries:
         return None
     spark = docs.sparkSession
-    asked = spark.createDataFrame([(k, a, len(alt), t) for k, a, alt in queries for t in alt], "rule int, alt int, want int, gram string")  # of the rules, not of the data
+    asked = values(spark, "rule int, alt int, want int, gram string", [(k, a, len(alt), t) for k, a, alt in queries for t in alt])  # of the rules, not of the data
     postings = index(docs, sorted({t for *_, alt in queries for t in alt}))
     # repeated rows share their key: each gram counts once
     met = postings.join(F.broadcast(asked), "gram").groupBy("_k1", "_k2", "rule", "alt", "want").agg(F.size(F.collect_set("gram")).alias("n"))
@@ -133,20 +136,24 @@ def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame | None:
 
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
     """start, order, end of the rule's leftmost non-overlapping matches, in code points, end exclusive. What stands
-    between the matches and the matches themselves, laid end to end, are the text: that gives the places."""
-    between, whole = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("all"), part.alias("part"))
+    between the matches and the matches themselves, laid end to end, are the text: that gives the places. Texts
+    without a match, which are most, are read once, up to the end."""
     empty = F.array().cast("array<struct<start:int,ord:int,end:int>>")
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+    between, whole = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    lengths = lambda parts: F.transform(parts, lambda x: F.length(x))
 
-    def step(z, m):
-        start = z["at"] + F.length(m["gap"])
-        end = start + F.length(m["all"])
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(F.length(m["part"]) >= rule.least, F.concat(z["found"], one)).otherwise(z["found"]).alias("found"))
+    def placed(own: Column) -> Column:
+        """own: lengths of gaps and of matches. The n-th match begins after n + 1 gaps and n matches."""
+        gaps = F.slice(own["gaps"], 1, F.size(own["all"]))
+        start = F.zip_with(running(F.zip_with(gaps, own["all"], lambda a, b: a + b)), gaps, lambda a, b: (a + b).cast("int"))
+        return F.zip_with(start, own["all"], lambda a, b: F.struct(a.alias("start"), F.lit(order).alias("ord"), (a + b).alias("end")))
 
-    return F.when(F.size(whole) > 0, F.aggregate(pairs, begin, step, lambda z: z["found"])).otherwise(empty)
+    found = let(F.struct(lengths(between).alias("gaps"), lengths(whole).alias("all")), placed)
+    if rule.least > 1:
+        sizes = lengths(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
+        both = F.zip_with(found, sizes, lambda x, n: F.when(n >= rule.least, x))
+        found = F.filter(both, lambda x: x.isNotNull())
+    return F.when(F.rlike(text, F.lit(rule.pattern)), found).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,12 +165,16 @@ def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", tex
     empty table; columns beyond the id and text are not looked at. Texts of any length are scanned whole.
 
     Plan: postings for the trigrams that the rules demand; an intersection by row and alternative; the surviving
-    (row, rules) pairs join the texts, and a rule runs only on its candidates. A rule without mandatory trigrams
-    (here hex) runs on every text. Keys are 128-bit row hashes, so no trigram, however common, is a shuffle key.
+    (row, rules) pairs are written down and join the texts (as a broadcast, if their counted number times 64 bytes is
+    within KEY_BYTES: then no text is shuffled), and a rule runs only on its candidates. A rule without mandatory
+    trigrams (here hex) runs on every text. Keys are 128-bit row hashes, so no trigram is a shuffle key.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     keyed = rows.select("*", *row_key(rows, "_id", "_text"))
     found = candidates(keyed, rules)
+    if found is not None:
+        found = settle(found, "candidates")
+        found = F.broadcast(found) if found.count() * 64 <= KEY_BYTES else found
     joined = keyed.join(found, ["_k1", "_k2"], "left") if found is not None else keyed.withColumn("_rules", F.lit(None).cast("array<int>"))
     parts = []
     for k, r in enumerate(rules):
@@ -188,7 +199,8 @@ def query(docs: DataFrame) -> DataFrame:
 def _sql() -> str:
     """Between the matches of a pattern stand the pieces that a split leaves; their lengths give the places."""
     parts = []
-    for k, r in enumerate(RULES):
+    stated = [RULES[0], Rule("access", "AKIA[A-Z0-9]+", 0, 20), Rule("hex", "[0-9a-f]+", 0, 24), *RULES[3:]]
+    for k, r in enumerate(stated):
         p = r.pattern.replace("'", "''")
         parts.append(
             f"SELECT rid, {k} AS ord, '{r.kind}' AS kind, s, s + length(m[i]) AS e FROM (SELECT rid, m, g, i, CAST(coalesce(list_sum(list_transform(b[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s "

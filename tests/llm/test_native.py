@@ -97,7 +97,8 @@ def test_decontaminate_without_broadcast(spark, monkeypatch):
 
 def spans(text):
     out = []
-    for k, r in enumerate(secret_scan.RULES):
+    stated = [secret_scan.RULES[0], secret_scan.Rule("access", "AKIA[A-Z0-9]+", 0, 20), secret_scan.Rule("hex", "[0-9a-f]+", 0, 24), *secret_scan.RULES[3:]]
+    for k, r in enumerate(stated):
         out += [(m.start(), k, m.end()) for m in re.finditer(r.pattern, text or "") if len(m[r.group]) >= r.least]
     return ",".join(f"{secret_scan.RULES[k].kind}:{a}:{b}" for a, k, b in sorted(out))
 
