@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import let, running, values
+
 #: The template: <s>[INST]role[/INST]text</s> for each turn. Its control strings can't stand in an escaped text.
 OPEN, MID, CLOSE = "<s>[INST]", "[/INST]", "</s>"
 _REST = r"s>|/s>|INST\]|/INST\]"
@@ -47,39 +49,50 @@ def fold(events: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """conv_id, formatted, loss_spans: one row for each conversation; loss_spans are the (start, end) code points, end
-    exclusive, of the assistant's escaped texts within formatted. Turns stand by turn, then role, text, msg.
+    """conv_id, formatted, loss_spans: one row for each conversation; loss_spans are the (start, end, turn) of the
+    assistant's escaped texts within formatted: code points, end exclusive, and the 0-based turn. Turns stand by turn, then role, text, msg.
     A null role is the empty role. A conversation is one row of the result, so it meets in one task as a whole;
     its messages are escaped before, in whatever task folded them."""
     piece = F.concat(F.lit(OPEN), escape(F.coalesce("role", F.lit(""))), F.lit(MID))
     ready = messages.select("conv_id", F.struct("turn", "role", "text", "msg").alias("key"), piece.alias("head"), escape(F.coalesce("text", F.lit(""))).alias("body"), (F.coalesce("role", F.lit("")) == "assistant").alias("loss"))
     byconv = ready.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("key", "head", "body", "loss"))).alias("m"))
     formatted = F.array_join(F.transform("m", lambda x: F.concat(x["head"], x["body"], F.lit(CLOSE))), "")
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    sizes = F.transform("m", lambda x: F.struct(F.length(x["head"]).alias("head"), F.length(x["body"]).alias("body"), x["loss"].alias("loss")))
 
-    def step(z, x):
-        start = z["at"] + F.length(x["head"])
-        end = start + F.length(x["body"])
-        return F.struct((end + len(CLOSE)).alias("at"), F.when(x["loss"], F.concat(z["spans"], F.array(F.struct(start.alias("start"), end.alias("end"))))).otherwise(z["spans"]).alias("spans"))
+    def placed(own: Column) -> Column:
+        begin = running(F.transform(own, lambda x: x["head"] + x["body"] + len(CLOSE)))
+        masked = F.zip_with(own, begin, lambda x, at: F.struct(x["loss"].alias("loss"), (at + x["head"]).cast("int").alias("start"), (at + x["head"] + x["body"]).cast("int").alias("end")))
+        numbered = F.transform(masked, lambda x, i: F.struct(x["loss"].alias("loss"), x["start"].alias("start"), x["end"].alias("end"), i.alias("turn")))
+        return F.transform(F.filter(numbered, lambda x: x["loss"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["turn"].alias("turn")))
 
-    spans = F.aggregate("m", F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda z: z["spans"])
+    spans = let(sizes, placed)
     return byconv.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
 
 
+def pieces(formatted: Column) -> Column:
+    """The rendered turns of a conversation, without what closes each."""
+    return let(F.split(formatted, CLOSE, -1), lambda p: F.slice(p, 1, F.size(p) - 1))
+
+
 def read_back(formatted: Column) -> Column:
     """The turns of a rendered conversation, as an array of (role, text)."""
-    turns = F.slice(F.split(formatted, CLOSE, -1), 1, F.size(F.split(formatted, CLOSE, -1)) - 1)
 
     def turn(t):
         role = F.substring_index(F.substring(t, len(OPEN) + 1, 2**30), MID, 1)
         return F.struct(unescape(role).alias("role"), unescape(F.substring(t, F.length(role) + len(OPEN) + len(MID) + 1, F.length(t))).alias("text"))
 
-    return F.transform(turns, turn)
+    return F.transform(pieces(formatted), turn)
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    """All text under the loss mask, unescaped, in order. Each span is read from its own turn, whose place in the whole
+    is the sum of the lengths before it."""
+
+    def read(p: Column) -> Column:
+        begin = running(F.transform(p, lambda x: F.length(x) + len(CLOSE)))
+        return let(begin, lambda at: F.transform(spans, lambda s: unescape(F.substring(F.get(p, s["turn"]), (s["start"] - F.get(at, s["turn"]) + 1).cast("int"), s["end"] - s["start"]))))
+
+    return F.array_join(let(pieces(formatted), read), "")
 
 
 def format_log(events: DataFrame) -> DataFrame:
@@ -87,15 +100,22 @@ def format_log(events: DataFrame) -> DataFrame:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Each row of a table of turns as the events of one message: it opens empty, and its text comes as a delta."""
-    rows = conversations.select("conv_id", F.monotonically_increasing_id().alias("msg"), "turn", "role", "text")
-    parts = F.array(*[F.struct(F.lit(k).alias("seq"), F.lit(kind).alias("kind"), text.alias("text")) for k, (kind, text) in enumerate([("message", F.lit("")), ("delta", F.coalesce("text", F.lit("")))])])
-    return rows.select("conv_id", "msg", "turn", "role", F.explode(parts).alias("p")).select("conv_id", "msg", "turn", F.col("p.seq").alias("seq"), F.col("p.kind").alias("kind"), "role", F.col("p.text").alias("text"))
+    """Each row of a table of turns as the events of one message. A user's comes with a draft, which an edit replaces.
+    Any other opens empty, takes a first delta, is regenerated, and then comes as two deltas."""
+    rows = conversations.select("conv_id", F.monotonically_increasing_id().alias("msg"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    draft = F.substring("text", 1, 8)
+    half = F.floor(F.length("text") / 2).cast("int")
+    log = lambda *events: F.array(*[F.struct(F.lit(k).alias("seq"), F.lit(kind).alias("kind"), text.alias("text")) for k, (kind, text) in enumerate(events)])
+    none = F.lit(None).cast("string")
+    typed = log(("message", draft), ("edit", F.col("text")))
+    streamed = log(("message", F.lit("")), ("delta", draft), ("regenerate", none), ("delta", F.substring(F.col("text"), F.lit(1), half)), ("delta", F.substring(F.col("text"), half + 1, F.length("text"))))
+    parts = F.when(F.col("role") == "user", typed).otherwise(streamed)
+    return rows.select("conv_id", "msg", "turn", "role", F.inline(parts)).select("conv_id", "msg", "turn", "seq", "kind", "role", "text")
 
 
 def query(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     hard = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    extra = values(spark, "conv_id long, turn long, role string, text string", [(-1, 0, "user", hard), (-1, 1, "assistant", hard)])
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
     done = format_log(events_of(rows)).withColumn("turns", read_back(F.col("formatted"))).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans")))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
