@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, join_spread, row_key
+from .common import fold_ascii, join_spread, row_key, settle
 
+#: Bytes of common lines' hashes, at 64 each, up to which they go to every executor; beyond, all lines shuffle to them.
+#: The same bound holds for the rows' lists of lines to drop.
+HASH_BYTES = 64 << 20
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -27,9 +30,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
     are replaced. An empty table gives an empty table. Texts of any length are split whole.
 
     Plan: explode the distinct line hashes of each row (128 bits), count with map-side partial sums, keep hashes
-    over the threshold, join them to the exploded (row, position, hash), gather the positions to drop by row, and
-    join those to the texts. Only hashes and positions meet by line, so a line that a third of all rows holds
-    moves no text; its rows are dealt to 16 tasks in the join. Python runs nowhere.
+    over the threshold and write them down. If their counted number times 64 bytes is within HASH_BYTES, they go to
+    every executor, and only lines that are met leave the row, as positions; else the exploded (row, position, hash)
+    shuffle to them, a common line's rows dealt to 16 tasks. Positions to drop are gathered by row and joined to the
+    texts, again as a broadcast within the bound. Only hashes and positions meet by line. Python runs nowhere.
     """
     extra = [c for c in docs.columns if c not in (id_col, text_col, "n_lines", "n_dropped")]
     kept = F.struct(*[F.col(f"`{c}`") for c in extra]).alias("_rest") if extra else F.lit(None).cast("string").alias("_rest")
@@ -44,10 +48,12 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
         .filter(F.col("n") >= min_docs).select("h1", "h2")
     )
     placed = lines.select("_k1", "_k2", F.posexplode("_lines").alias("pos", "l")).filter("l is not null").select("_k1", "_k2", "pos", "l.h1", "l.h2")
-    dropped = (
-        join_spread(placed, common, ["h1", "h2"], F.col("_k1"), how="inner")
-        .groupBy("_k1", "_k2").agg(F.collect_set("pos").alias("_drop"))
-    )
+    common = settle(common, "common-lines")
+    few = common.count() * 64 <= HASH_BYTES
+    met = placed.join(F.broadcast(common), ["h1", "h2"]) if few else join_spread(placed, common, ["h1", "h2"], F.col("_k1"), how="inner")
+    dropped = settle(met.groupBy("_k1", "_k2").agg(F.collect_set("pos").alias("_drop")), "dropped-lines")
+    size = dropped.agg(F.coalesce(F.sum(F.lit(64) + 4 * F.size("_drop")), F.lit(0))).first()[0]
+    dropped = F.broadcast(dropped) if size <= HASH_BYTES else dropped
     split = F.split("_text", "\n", -1)
     whole = keyed.join(dropped, ["_k1", "_k2"], "left").withColumn("_split", split)
     none = F.array().cast("array<int>")
