@@ -11,23 +11,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import join_spread, settle
 from .words import LOWERED, pieces, raw, tidied
 
-#: Rows of each language that the text model is fitted on at most (those of least hash), and languages at most (the
-#: commonest). They bound the model and the fitting task; statistics of hosts, suffixes and markup cover all rows.
-PER_LANGUAGE, LANGUAGES = 2000, 100
+#: Distinct texts of each language that the text model is fitted on, about: those whose hash is under the share that
+#: gives so many. Statistics of hosts, suffixes and markup cover all rows.
+PER_LANGUAGE = 2000
+#: Languages that the model has room for (at 256 KB each). Every labelled language is taken; if there are more than
+#: this, training fails and says so, instead of leaving some out.
+LANGUAGES = 500
 CELLS = 1 << 16
 #: Trigrams that count in full; a longer text counts as if it had so many, since its trigrams aren't independent.
 TRUST = 60.0
 #: Weights, in rows, of the level above in the chain all rows, domain, host; and of all rows for suffix and markup.
 ABOVE, WEIGHT = 5.0, 20.0
-_DROP = re.compile(r"(?is)<(script|style)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[!/a-z][^>]*>")
+#: A tag, comment or script that nothing closes runs to the end: so each character is looked at a few times only.
+_DROP = re.compile(r"(?is)<(script|style)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[!/a-z][^>]*(?:>|\Z)")
+_DECLARED = r"""(?i)<html\b[^<>]*?\blang\s*+=\s*+["']?+\s*+([A-Za-z]{2,8})"""
 
 
 def visible(html: str) -> str:
+    """The text of a page, in time linear in its length."""
     return markup.unescape(_DROP.sub(" ", html))
 
 
@@ -50,13 +55,20 @@ def _cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], bytes]:
-    """The languages, sorted, and the log probabilities of trigram cells under each. Null languages and texts are left out."""
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    langs = sorted(r[0] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(LANGUAGES).select(lang_col).collect())
-    keyed = known.filter(F.col(lang_col).isin(langs)).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("k"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("k"))
-    some = keyed.distinct().withColumn("place", place).filter(F.col("place") <= per_language).select("lang", "k")
-    rows = known.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("text")).join(F.broadcast(some), ["lang", "k"])
+    """The languages, sorted, and the log probabilities of trigram cells under each. Null languages and texts are left
+    out; a text that repeats counts once. No labelled rows: no languages. More than LANGUAGES: ValueError.
+
+    Plan: distinct text hashes are counted by language; a text is in the sample if its hash is under its language's
+    share, so no rows are ranked or sorted; the sample, and so the model, is bounded by languages times per_language.
+    """
+    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("text"))
+    distinct = known.select("lang", "k").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in distinct.limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: raise langid.LANGUAGES, with 256 KB of memory for each, or clean the labels")
+    langs = sorted(sizes)
+    share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1 << 31, -(-(per_language << 31) // n)))) for x, n in sizes.items()], F.lit(0))
+    rows = known.filter(F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(1 << 31)) < share).dropDuplicates(["lang", "k"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(langs), CELLS), np.int64)
@@ -104,7 +116,7 @@ def identify(pages: DataFrame, langs: list[str], model: bytes, id_col: str = "pa
         raise ValueError("no language to choose from")
     url, html = F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
     host = host_of(url)
-    said = F.lower(F.regexp_extract(html, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,8})""", 1))
+    said = F.lower(F.regexp_extract(html, _DECLARED, 1))
     rows = pages.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col).cast("string"), url).alias("_k"), host.alias("host"), said.alias("declared"), html.alias("_html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

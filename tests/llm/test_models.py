@@ -1,8 +1,10 @@
 """op1, op2, op4, op5, op7, op9: against brute force, exact round trips or held-out accuracy."""
 
+import io
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -213,6 +215,72 @@ def test_language_id(spark):
     assert langid.identify(spark.createDataFrame([], "page_id long, url string, html string"), langs, model).count() == 0
 
 
+def test_language_id_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    langs, model = langid.train(docs, per_language=50)
+    logs = np.load(io.BytesIO(model))
+    assert len(langs) == logs.shape[0] == docs.select("lang").distinct().count() and np.allclose(np.exp(logs.astype(float)).sum(axis=1), 1, atol=1e-4)
+    rng = random.Random(8)
+    some = [r["text"] for r in docs.filter("doc_id < 60").collect()]
+    pages = [(i, f"https://{rng.choice(['a.x.de', 'b.x.de', 'c.org', 'k.fr'])}:8{i}/p", f"<html class=x lang='{rng.choice(langs)}'><p>{rng.choice(some)[: rng.randrange(200)]}</p>") for i in range(80)]
+    pages += [(200, None, "<p>der die das"), (201, "https://c.org/", None), (202, "ftp://solo/", "<a" * 30)]
+    got = {r["page_id"]: r for r in langid.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), langs, model).collect()}
+
+    def cells(text):
+        low = text.translate(FOLD).encode()
+        return [((a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) >> 7) & (langid.CELLS - 1) for a, b, c in zip(low, low[1:], low[2:])]
+
+    def soft(x):
+        e = [math.exp(v - max(x)) for v in x]
+        return [v / sum(e) for v in e]
+
+    text, post, tags = {}, {}, {}
+    for i, url, html in pages:
+        c = cells(langid.visible(html or ""))
+        text[i] = [sum(float(logs[k][x]) for x in c) * min(1, langid.TRUST / max(len(c), 1)) for k in range(len(langs))]
+        post[i] = soft(text[i])
+        host = re.match(r"[a-z]+://([^/:]*)", url)[1] if url else ""
+        said = re.search(r"lang='(\w+)'", html or "")
+        labels = host.split(".")
+        tags[i] = {"host": host, "domain": ".".join(labels[-2:]), "suffix": labels[-1] if len(labels) > 1 else "", "declared": said[1] if said else ""}
+    many = range(len(langs))
+    summed = {}
+    for i in post:
+        for key, value in tags[i].items():
+            old = summed.setdefault((key, value), [0.0] * len(langs))
+            summed[key, value] = [a + b for a, b in zip(old, post[i])]
+    every = [sum(post[i][k] for i in post) + 1 for k in many]
+    general = [x / sum(every) for x in every]
+
+    def smooth(counts, above, weight):
+        return [(c + weight * p) / (sum(counts) + weight) for c, p in zip(counts, above)]
+
+    for i in post:
+        less = lambda key: [max(a - b, 0) for a, b in zip(summed[key, tags[i][key]], post[i])]
+        prior = smooth(less("host"), smooth(less("domain"), general, langid.ABOVE), langid.ABOVE) if tags[i]["host"] else general
+        total = [t + math.log(p) for t, p in zip(text[i], prior)]
+        for key in ("suffix", "declared"):
+            if tags[i][key]:
+                total = [t + math.log(a / b) for t, a, b in zip(total, smooth(less(key), general, langid.WEIGHT), general)]
+        want = soft(total)
+        assert abs(got[i]["confidence"] - max(want)) < 1e-6 and got[i]["lang"] == langs[want.index(max(want))] and got[i]["host"] == tags[i]["host"]
+
+
+def test_language_id_hard_pages(spark, monkeypatch):
+    began = time.time()
+    for hard in ("<a" * 2_500_000, "<!--" * 1_000_000, "<script" * 500_000, "</script " * 500_000):
+        langid.visible(hard)
+    assert time.time() - began < 10
+    docs = spark.createDataFrame([("der die das", "de"), ("le la les", "fr"), ("the of and", "en"), (None, "en"), ("x", None)], "text string, lang string")
+    langs, model = langid.train(docs)
+    assert langs == ["de", "en", "fr"]
+    rows = [(1, "http://a.de/", "<html" * 400_000), (2, "http://a.de/", "<html lang=" + " " * 200_000), (3, "http://a.de/", "der die das " * 200_000)]
+    assert {r["page_id"]: r["declared"] for r in langid.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), langs, model).collect()} == {1: "", 2: "", 3: ""}
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    with pytest.raises(ValueError):
+        langid.train(docs)
+
+
 def nearest(rows, every, k):
     good = {}
     for i, v in rows:
