@@ -7,26 +7,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import remainder
 from .lm import END, _before
-from .words import BASE, mix, pieces, tidied, word_hashes
-
-#: Labelled rows of each class that the models are fitted on at most: those of least hash. This bounds the fitting
-#: task and the model; it is the only bound, and scoring covers every row.
-PER_CLASS = 4000
-#: Discount of class counts; deviations from its share, and log ratio, from which an expression is a class's own.
-DISCOUNT, Z, EFFECT = 0.75, 4.0, 1.1
-#: Levels of backoff: a word after its predecessor, the word, its first 6 bytes, its first 4.
+from .words import BASE, MARK, mix, pieces, tidied, word_hashes
+
+#: Labelled rows of each class that the models are fitted on at most, those of least hash, and bytes of text in all:
+#: a row with which a class would pass half of them is left out as a whole. These bound the fitting task and the model;
+#: scoring covers every row.
+PER_CLASS, FIT_BYTES = 4000, 64 << 20
+#: The discounts of a count, in distinct contexts: so much of itself, so many times what the other class has in
+#: proportion, and so many deviations of chance.
+DISCOUNT, RATIO, DEVIATIONS = 2.0, 3.0, 3.0
+#: Levels of backoff below the word: its first bytes, which inflected and disguised words share.
 HEADS = (6, 4)
-LEVELS = ("pair", "word", *(f"head{k}" for k in HEADS))
+LEVELS = ("word", *(f"head{k}" for k in HEADS))
 FOLDS = 4
 
 
 class Models:
-    """Sorted key arrays with a column for each class; all the model's state, and so what is broadcast."""
+    """Two interpolated Kneser-Ney bigram models, of ordinary and of toxic text, as sorted key arrays; all their state,
+    and so what is broadcast.
+
+    p_c(w | v) = (own_c(v w) + held_c(v) p_c(w)) / n_c(v), or p_c(w) if the class lacks v;
+    p_c(w) = (own_c(w) + held_c p_c(h) p(w | h)) / n_c, with the word's head h in the place of w at the next level;
+    p(w | h) = (shared(w) + 1 / (kinds(h) + 1)) / (shared(h) + 1), and so p(h) for the shortest heads; one place in
+    kinds + 1 is for all that isn't seen below h.
+
+    n_c(v w) counts the distinct words before v w in the class, n_c(w) those before w, n_c(h) is the sum of those of
+    its words: Kneser-Ney's counts, to which copies of a text add nothing. own is n less the discounts: DISCOUNT, RATIO times
+    what the other class has in proportion, and DEVIATIONS of chance. held is what discounts keep back of a sum, and shared
+    what they keep back of both classes: the counts of the backoff. So what is rare, or alike in both classes, backs off
+    to counts that both share.
+    """
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.arrays = arrays
@@ -40,17 +56,35 @@ class Models:
     def load(blob: bytes) -> Models:
         return Models(dict(np.load(io.BytesIO(blob))))
 
+    def _read(self, level: str, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The level's place of each key, and whether it is there."""
+        keys = self.arrays[level]
+        if not len(keys):
+            return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        return at, keys[at] == asked
+
+    def probabilities(self, before: np.ndarray, seq: np.ndarray) -> np.ndarray:
+        """p_c(word | before) by class and token; seq has the hashes of the word and its heads."""
+        a = self.arrays
+        low = np.repeat(a["unseen"][:, None], seq.shape[1], axis=1)
+        for level, asked in list(zip(LEVELS, seq, strict=True))[::-1]:
+            at, there = self._read(level, asked)
+            low[:, there] = a[f"{level}_p"][:, at[there]]
+        at, there = self._read("context", before)
+        if not len(a["context"]):
+            return low
+        total, held = np.where(there, a["context_n"][:, at], 0), np.where(there, a["context_held"][:, at], 0)
+        at, there = self._read("pair", mix(before * np.uint64(BASE) + seq[0]))
+        own = np.where(there, a["pair_own"][:, at], 0) if len(a["pair"]) else 0
+        return np.where(total > 0, (own + held * low) / np.maximum(total, 1), low)
+
     def ratios(self, seq: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """For each text the sum of log(p_toxic / p_ordinary) over its tokens: for each token that of the first
-        level at which a class has it as its own, or 0."""
-        out, done = np.zeros(seq.shape[1]), np.zeros(seq.shape[1], bool)
-        for level, asked in zip(LEVELS, _levels(seq, bounds), strict=True):
-            keys, ratio = self.arrays[level], self.arrays[f"{level}_ratio"]
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                there = (keys[at] == asked) & ~done
-                out[there] = ratio[at[there]]
-                done |= there
+        """For each text the sum of log(p_toxic / p_ordinary) over all its tokens."""
+        before, out = _before(seq[0], bounds), np.empty(seq.shape[1])
+        for a in range(0, len(out), 1 << 17):
+            p = np.log(self.probabilities(before[a : a + (1 << 17)], seq[:, a : a + (1 << 17)]))
+            out[a : a + (1 << 17)] = p[1] - p[0]
         return np.add.reduceat(out, bounds[:-1])
 
     def score(self, seq: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -63,55 +97,65 @@ def features(ratio: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def count(seq: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> Models:
-    """Both models. A word's counts are Kneser-Ney's: in how many distinct contexts a class has it, so copies of a
-    text add nothing. At each level p_c = max(c_c - D, 0) / total_c + weight_c p, where p backs off: for a pair to the
-    class's word, for a word or its head to what both classes share. Expressions that neither class has beyond its
-    share by Z deviations and EFFECT are rare or neutral: both models take the shared counts of the level below for
-    them, which cancel out in a comparison; so only the others are kept, with their log ratios."""
+    """Both models' counts."""
     before, owner = _before(seq[0], bounds), np.repeat(label, np.diff(bounds))
-    asked = _levels(seq, bounds)
-    pairs, first, where = np.unique(asked[0], return_index=True, return_inverse=True)
-    pair_n = np.stack([np.bincount(where[owner == c], minlength=len(pairs)) for c in (0, 1)]).astype(float)
+    key = mix(before * np.uint64(BASE) + seq[0])
+    three = mix(_before(before, bounds) * np.uint64(BASE) + key) ^ owner.astype(np.uint64)
+    once = np.unique(three, return_index=True)[1]  # each word before a pair once in a class
+    pairs, first, where = np.unique(key[once], return_index=True, return_inverse=True)
     over = lambda at, weights, n: np.stack([np.bincount(at, weights=weights[c], minlength=n) for c in (0, 1)])
-    arrays, low = {}, None
-    for level, keys in zip(LEVELS[1:], asked[1:], strict=True):
-        known, at = np.unique(keys[first], return_inverse=True)
-        n = over(at, pair_n > 0, len(known))
-        shared = (n.sum(axis=0) + 0.5) / (n.sum() + 0.5 * (len(known) + 1))
-        total, kinds = np.maximum(n.sum(axis=1), 1), (n > 0).sum(axis=1)
-        p = np.stack([np.maximum(n[c] - DISCOUNT, 0) / total[c] + max(DISCOUNT * kinds[c] / total[c], 1e-6) * shared for c in (0, 1)])
-        own = _own(n, p)
-        arrays |= {level: known[own], f"{level}_ratio": np.log(p[1] / p[0])[own]}
-        low = np.where(own, p, shared)[:, at] if low is None else low
-    contexts, x = np.unique(before[first], return_inverse=True)
-    n, varied = over(x, pair_n, len(contexts)), over(x, pair_n > 0, len(contexts))
-    weight = np.where(n > 0, DISCOUNT * varied / np.maximum(n, 1), 1.0)
-    p = np.stack([np.maximum(pair_n[c] - DISCOUNT, 0) / np.maximum(n[c], 1)[x] + weight[c][x] * low[c] for c in (0, 1)])
-    own = _own(pair_n, p)
-    return Models(arrays | {"pair": pairs[own], "pair_ratio": np.log(p[1] / p[0])[own]})
-
-
-def _own(n: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Whether a class has more than its share of an expression."""
-    share, total = n[1].sum() / max(1.0, n.sum()), n.sum(axis=0)
-    beyond = np.abs(n[1] - total * share) > Z * np.sqrt(np.maximum(total * share * (1 - share), 0.25))
-    return beyond & (np.abs(np.log(p[1] / p[0])) > EFFECT)
-
-
-def _levels(seq: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    return [mix(_before(seq[0], bounds) * np.uint64(BASE) + seq[0]), *seq]
+    pair_n = np.stack([np.bincount(where[owner[once] == c], minlength=len(pairs)) for c in (0, 1)])
+    # the levels from the word up: distinct keys, counts, and where each stands in the level above
+    below, counts, tree = once[first], (pair_n > 0).astype(float), []
+    for asked in seq:
+        known, some, at = np.unique(asked[below], return_index=True, return_inverse=True)
+        if tree:
+            tree[-1][2] = at
+        counts = over(at, counts, len(known))
+        tree.append([known, counts, None])
+        below = below[some]
+    total = counts.sum(axis=1)
+    each = np.maximum(total, 1)[:, None]
+    # and from the shortest heads down: p by class of each key, and of all that isn't seen below the level above
+    p, missing, arrays = np.ones((2, 1)), [np.ones((2, 1))], {}
+    for level, (known, n, _), above in zip(LEVELS[::-1], tree[::-1], [np.zeros(len(tree[-1][0]), np.int64), *(t[2] for t in tree[-2::-1])], strict=True):
+        own = _own(n, np.broadcast_to(total[:, None], n.shape))
+        kept, parents = (n - own).sum(axis=0), p.shape[1]
+        kinds, shared = np.bincount(above, minlength=parents), np.bincount(above, weights=kept, minlength=parents)
+        held = np.where(total > 0, total - own.sum(axis=1), 1)[:, None] / each
+        missing = [held * m for m in missing[:-1]] + [held * p / ((kinds + 1) * (shared + 1))]
+        p = own / each + held * p[:, above] * ((kept + 1 / (kinds[above] + 1)) / (shared[above] + 1))
+        arrays |= {level: known}
+        missing.append(p)
+    names = ["unseen", *(f"{level}_p" for level in LEVELS[::-1])]
+    arrays |= dict(zip(names, [missing[0][:, 0], *missing[1:]], strict=True))
+    contexts, x = np.unique(before[once[first]], return_inverse=True)
+    context_n = over(x, pair_n, len(contexts))
+    pair_own = _own(pair_n, context_n[:, x])
+    some = pair_own.any(axis=0)  # pairs that no class has as its own need no place: their count is 0
+    context_held = context_n - over(x, pair_own, len(contexts))
+    differ = (context_held < context_n).any(axis=0)  # in all other contexts p_c(w | v) is p_c(w)
+    return Models(arrays | {"pair": pairs[some], "pair_own": pair_own[:, some], "context": contexts[differ], "context_n": context_n[:, differ], "context_held": context_held[:, differ]})
+
+
+def _own(n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What each class has of its own: counts, out of its totals, less their discounts."""
+    scale = np.stack([total[c] / np.maximum(total[1 - c], 1) for c in (0, 1)])
+    other = n[::-1] * scale
+    return np.maximum(n - RATIO * other - DEVIATIONS * np.sqrt(n + other * scale) - DISCOUNT, 0)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each token of each text (its words, then one end) the hash of the word and of its heads; and bounds."""
+    """For each token of each text (its words, without punctuation, then one end) the hash of the word and of its
+    heads; and bounds."""
     got, bounds, at = [np.zeros((1 + len(HEADS), 0), np.uint64)], [np.zeros(1, np.int64)], 0
     for a, b in pieces(texts):
-        words, own, *heads = word_hashes(texts.slice(a, b - a), HEADS)
+        words, own, *heads = word_hashes(texts.slice(a, b - a), MARK, HEADS)
         ends = own[1:] + np.arange(b - a)
         out = np.full((1 + len(HEADS), len(words) + b - a), END, np.uint64)
         there = np.ones(out.shape[1], bool)
         there[ends] = False
-        out[:, there] = np.stack([words, *(h ^ np.uint64(k) for h, k in zip(heads, HEADS, strict=True))])
+        out[:, there] = np.stack([words, *heads])
         got.append(out)
         bounds.append(ends + 1 + at)
         at += out.shape[1]
@@ -119,14 +163,12 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _some(seq: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keep = np.repeat(which, np.diff(bounds))
-    return seq[:, keep], np.concatenate([[0], np.cumsum(np.diff(bounds)[which])]).astype(np.int64)
+    return seq[:, np.repeat(which, np.diff(bounds))], np.concatenate([[0], np.cumsum(np.diff(bounds)[which])]).astype(np.int64)
 
 
-def fit(texts: pa.Array, label: np.ndarray, shares: np.ndarray) -> Models:
+def fit(seq: np.ndarray, bounds: np.ndarray, label: np.ndarray, shares: np.ndarray) -> Models:
     """Both models from all given rows, and the calibration from ratios that models of the other folds give. shares:
     rows of each class among all labelled training rows, which the calibration is weighted to."""
-    seq, bounds = _tokens(texts)
     fold = np.arange(len(label)) % FOLDS
     x, y = [], []
     for f in range(FOLDS):
@@ -156,7 +198,8 @@ def fit(texts: pa.Array, label: np.ndarray, shares: np.ndarray) -> Models:
 def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modulus: int = 5, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> bytes:
     """The models, as bytes, from labelled rows that aren't held out: crc32(id as text) mod modulus is not 0 (or, if
     held_out is named, that column of labels is false). Of each class the per_class rows of least id hash are used:
-    a sample that depends on the ids alone, not on order or source. It bounds what one task and the driver hold.
+    a sample that depends on the ids alone, not on order or source; a row for which FIT_BYTES has no room is left out.
+    Both bound what one task and the driver hold.
     Labels other than 0 and 1, null ids and ids without a document are left out."""
     spark = docs.sparkSession
     ids, held = F.col(id_col), F.col(held_out) if held_out else remainder(F.col(id_col), modulus) == 0
@@ -168,13 +211,22 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modul
     both = np.array([shares.get(0, 0), shares.get(1, 0)], float)
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        texts = pa.chunked_array([b["_text"] for b in got], pa.string()).combine_chunks()
-        model = fit(texts, np.concatenate([np.zeros(0, np.int32), *(b["_label"].to_numpy() for b in got)]), both)
+        got, labels, room = [(np.zeros((1 + len(HEADS), 0), np.uint64), np.zeros(1, np.int64))], [np.zeros(0, np.int64)], [FIT_BYTES / 2] * 2
+        for batch in batches:
+            own, sizes = batch["_label"].to_numpy(), pc.binary_length(batch["_text"]).to_numpy()
+            keep = np.zeros(len(own), bool)
+            for i, (label, size) in enumerate(zip(own, sizes, strict=True)):
+                if size <= room[label]:
+                    room[label] -= size
+                    keep[i] = True
+            got.append(_tokens(batch["_text"].filter(pa.array(keep))))
+            labels.append(own[keep].astype(np.int64))
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in got]))]).astype(np.int64)
+        model = fit(np.concatenate([s for s, _ in got], axis=1), bounds, np.concatenate(labels), both)
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
 
     made = rows.select("_text", "_label").coalesce(1).mapInArrow(tidied(fitted), "model binary").first()
-    return bytes(made[0]) if made else fit(pa.array([], pa.string()), np.zeros(0, np.int32), both).dump()  # no partition at all
+    return bytes(made[0]) if made else fit(*_tokens(pa.array([], pa.string())), np.zeros(0, np.int64), both).dump()  # no partition at all
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:

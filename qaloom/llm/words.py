@@ -15,6 +15,7 @@ LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
+MARK = BLANK | ((np.arange(256) < 128) & ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)]))
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -102,15 +103,15 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def word_hashes(texts: pa.Array, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+def word_hashes(texts: pa.Array, separators: np.ndarray = BLANK, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """A 64-bit hash for each word, and bounds: text i has words bounds[i] to bounds[i + 1]; then, for each number in
-    heads, the hashes of so many first bytes of the words. A hash is the difference of two prefix sums of a
-    polynomial, moved to power 0 and mixed. Memory: some 60 bytes a byte."""
+    heads, the hashes of so many first bytes of the words. Words are runs of bytes that aren't separators. A hash is the difference of two prefix sums of a polynomial, moved to power 0 and mixed.
+    Memory: some 60 bytes a byte."""
     data, off = raw(texts)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), *(np.zeros(0, np.uint64) for _ in heads)
-    blank = BLANK[data]
+    blank = separators[data]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
     cut = edge.copy()

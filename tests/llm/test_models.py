@@ -201,6 +201,114 @@ def test_toxicity(spark):
     assert {r["predicted"] for r in toxicity.query(spark, docs, labels.limit(0)).collect()} == {0}
 
 
+def tox_rows():
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        ws = [rng.choice(["the", "of", "and", "Red", f"w{rng.randrange(60)}"]) for _ in range(rng.randrange(0, 40))]
+        if i % 4 == 0:
+            ws[rng.randrange(len(ws) + 1) : 0] = [rng.choice(["nastyone", "nastytwo.", "awful", "go away"])] * rng.randrange(1, 3)
+        rows.append((" ".join(ws), int(i % 4 == 0)))
+    return rows
+
+
+def plain_kneser_ney(rows):
+    """p_c(word | before) and its sum over all that can follow, from dictionaries of strings."""
+    cut = lambda t: [*re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", t.translate(FOLD)), "</s>"]
+    heads = lambda w: [w] * 3 if w == "</s>" else [w, w[:6], w[:4]]
+    triples = set()
+    for t, c in rows:
+        ws = ["<<", "<s>", *cut(t)]
+        triples |= {(c, "<s>" if i == 2 else ws[i - 2], ws[i - 1], ws[i]) for i in range(2, len(ws))}
+    pair = Counter((c, v, w) for c, u, v, w in triples)
+    n = [Counter(), Counter(), Counter()]
+    for c, v, w in pair:
+        for level, x in enumerate(heads(w)):
+            n[level][c, x] += 1
+    total = [sum(k for (c, _), k in n[0].items() if c == d) for d in (0, 1)]
+
+    def own(mine, other, t, o):
+        scale = t / max(o, 1)
+        return max(mine - toxicity.RATIO * other * scale - toxicity.DEVIATIONS * math.sqrt(mine + other * scale * scale) - toxicity.DISCOUNT, 0)
+
+    keys = [sorted({x for _, x in level}) for level in n]
+    owned = [{(c, x): own(level[c, x], level[1 - c, x], total[c], total[1 - c]) for c in (0, 1) for x in keys[k]} for k, level in enumerate(n)]
+    kept = [{x: sum(n[k][c, x] - owned[k][c, x] for c in (0, 1)) for x in keys[k]} for k in range(3)]
+    held = [[(total[c] - sum(owned[k][c, x] for x in keys[k])) / total[c] for c in (0, 1)] for k in range(3)]
+    up = lambda k, x: (x if x == "</s>" else x[:6] if k == 0 else x[:4]) if k < 2 else ""
+    children = [{}, {}, {}]
+    for k in range(3):
+        for x in keys[k]:
+            children[k].setdefault(up(k, x), []).append(x)
+
+    def level_p(c, k, x):
+        """Of the key x at level k, or, where x is None-like, of nothing below its parent."""
+        if k == 3:
+            return 1.0
+        parent = up(k, x)
+        kin = children[k][parent]
+        below = (kept[k][x] + 1 / (len(kin) + 1)) / (sum(kept[k][y] for y in kin) + 1)
+        return owned[k][c, x] / total[c] + held[k][c] * level_p(c, k + 1, parent) * below
+
+    def missing(c, k, parent):
+        """Of all words not seen below parent, a key of level k + 1."""
+        kin = children[k][parent]
+        p = held[k][c] * level_p(c, k + 1, parent) / (len(kin) + 1) / (sum(kept[k][y] for y in kin) + 1)
+        for lower in range(k):
+            p *= held[lower][c]
+        return p
+
+    def alone(c, w):
+        for k, x in enumerate(heads(w)):
+            if x in kept[k]:
+                return level_p(c, 0, x) if k == 0 else missing(c, k - 1, x)
+        return missing(c, 2, "")
+
+    context = Counter()
+    for (c, v, _), k in pair.items():
+        context[c, v] += k
+
+    def probability(c, v, w):
+        p, t, o = alone(c, w), context[c, v], context[1 - c, v]
+        if not t:
+            return p
+        mine = {x: own(pair[c, v, x], pair[1 - c, v, x], t, o) for x in keys[0]}
+        return (mine.get(w, 0) + (t - sum(mine.values())) * p) / t
+
+    def whole(c, v):
+        rest = sum(missing(c, 0, x) for x in children[0]) + sum(missing(c, 1, x) for x in children[1]) + missing(c, 2, "")
+        t = context[c, v]
+        share = (t - sum(own(pair[c, v, x], pair[1 - c, v, x], t, context[1 - c, v]) for x in keys[0])) / t if t else 1
+        return sum(probability(c, v, w) for w in keys[0]) + share * rest
+
+    return probability, whole, cut
+
+
+def test_toxicity_is_kneser_ney():
+    import pyarrow as pa
+
+    rows = tox_rows()
+    seq, bounds = toxicity._tokens(pa.array([t for t, _ in rows]))
+    model = toxicity.count(seq, bounds, np.array([c for _, c in rows]))
+    probability, whole, cut = plain_kneser_ney(rows)
+    assert all(abs(whole(c, v) - 1) < 1e-9 for c in (0, 1) for v in ("<s>", "the", "go", "never"))
+    for text in ("the nastyone of nastyother w3, unseen", "go away Red awful", "", "w1 w2 nastything 77"):
+        seq, bounds = toxicity._tokens(pa.array([text]))
+        words, before = cut(text), ["<s>", *cut(text)]
+        want = np.array([[probability(c, v, w) for v, w in zip(before, words)] for c in (0, 1)])
+        got = model.probabilities(toxicity._before(seq[0], bounds), seq)
+        assert np.allclose(got, want, rtol=1e-9), (text, got, want)
+        assert abs(model.ratios(seq, bounds)[0] - np.log(want[1] / want[0]).sum()) < 1e-9
+
+
+def test_toxicity_leaves_out_what_has_no_room(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 60_000)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(tox_rows())] + [(9000, "nastyone " * 20_000)], KIND)
+    labels = spark.createDataFrame([(i, c) for i, (_, c) in enumerate(tox_rows())] + [(9000, 0)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.query(spark, docs, labels).collect()}
+    assert len(got) == 401 and got[9000] == 1
+
+
 def test_language_id(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     langs, model = langid.train(docs.filter("doc_id % 2 = 0"))
