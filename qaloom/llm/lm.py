@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .chunks import CHUNK, chunk_ids, part_count, planes, unplanes
 from .common import remainder, settle
@@ -16,13 +17,11 @@ from .words import BASE, mix, pieces, tidied, word_hashes
 
 #: Bits for each insertion and probes for each: one false answer in 45.
 BITS, PROBES = 8, 5
-#: Bytes of filter that go to every executor at once. Bigrams beyond that are scored in so many passes; unigrams
-#: beyond a quarter of it aren't sent, their filters answer the chunks by part.
-BROADCAST_BYTES = 256 << 20
-#: Bytes of text scored at once.
-SCORED = 2 << 20
-#: Levels: a count c stands at level 1 + floor(log(c) / log(base)).
-UNIGRAM_BASE, BIGRAM_BASE = 2**0.25, 2.0
+#: Bytes of bigram filter that go to every executor, and of unigram filter a quarter of that. Filters beyond it aren't
+#: sent: the chunks' probes go to the parts instead, where the same bits answer them.
+BROADCAST_BYTES = 128 << 20
+#: Levels: a count c stands at level 1 + floor(log(c) / log(base)); no count is beyond 2**62.
+UNIGRAM_BASE, BIGRAM_BASE, MOST = 2**0.25, 2.0, 62
 #: Weight, in counts, of the unigram model against what has been seen after the word before.
 PRIOR = 300.0
 END = np.uint64(0x5EED0FE2D)
@@ -64,7 +63,7 @@ def build(keys: np.ndarray, counts: np.ndarray, base: float, bits_each: float) -
 
 
 class Filter:
-    """The parts' filters end to end. A key's part is known from its high bits, so it is probed in one place."""
+    """Some parts' filters end to end. A key's part is known from its high bits, so it is probed in one place."""
 
     def __init__(self, rows: Iterator[tuple[int, bytes]], sizes: dict[int, int], base: float, parts: int):
         self.parts, self.base = parts, base
@@ -80,7 +79,7 @@ class Filter:
         out = np.zeros(len(keys), np.int64)
         part = part_of(keys, self.parts)
         alive, level = np.flatnonzero(self.bits[part] > 0), 0
-        while len(alive):
+        while len(alive) and level <= MOST / math.log2(self.base):  # so that even a filter of ones comes to an end
             level += 1
             own = keys[alive], self.bits[part[alive]], self.start[part[alive]]
             one, two = _hashes(own[0], np.full(1, level))
@@ -139,11 +138,20 @@ def _train(batch: pa.RecordBatch, bounds: np.ndarray) -> np.ndarray:
     return np.repeat(~batch["_held"].to_numpy(zero_copy_only=False), np.diff(bounds))
 
 
-_CUT = "chunk long, part int, ids array<long>, keys array<long>, held array<boolean>, lengths binary, spots binary, words binary, counts binary"
+def _cut_schema(id_type: str) -> str:
+    return f"chunk long, part int, ids array<{id_type}>, held array<boolean>, lengths binary, spots binary, words binary, counts binary"
+
+
+def _runs(keys: np.ndarray, parts: int) -> tuple[np.ndarray, list[slice]]:
+    """The parts of sorted keys, and where each part's keys are."""
+    owner = part_of(keys, parts)
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    return owner[starts], [slice(a, b) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True)]
 
 
 def _cut(parts: int):
-    """A `doc` row for each chunk, and a row for each part with the chunk's distinct tokens and training counts."""
+    """A row for each chunk (part -1) with its texts' tokens, as places among its distinct ones; and a row for each
+    part with those that belong to it, and their training counts."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = chunk_ids()
@@ -153,19 +161,16 @@ def _cut(parts: int):
                 seq, bounds = _tokens(part["_text"])
                 known, where = np.unique(seq, return_inverse=True)
                 counts = np.bincount(where[_train(part, bounds)], minlength=len(known))
-                chunk, owner = next(names), part_of(known, parts)
-                starts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist() + [len(known)]
-                n = len(starts)
-                empty = [None] * (n - 1)
+                owner, runs = _runs(known, parts)
+                n = 1 + len(runs)
                 col = lambda first, rest, kind: pa.array([first, *rest], kind)
+                none, ids = [None] * (n - 1), pa.ListArray.from_arrays(pa.array([0, *[b - a] * n], pa.int32()), part["_id"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([chunk] * n, pa.int64()), col(-1, owner[starts[:-1]].tolist(), pa.int32()),
-                        col(part["_id"].to_pylist(), empty, pa.list_(pa.int64())), col(part["_k"].to_pylist(), empty, pa.list_(pa.int64())), col(part["_held"].to_pylist(), empty, pa.list_(pa.bool_())),
-                        col(planes(np.diff(bounds)), empty, pa.binary()), col(planes(where), empty, pa.binary()),
-                        col(None, [known[s:e].tobytes() for s, e in zip(starts[:-1], starts[1:], strict=True)], pa.binary()), col(None, [planes(counts[s:e]) for s, e in zip(starts[:-1], starts[1:], strict=True)], pa.binary()),
+                        pa.array([next(names)] * n, pa.int64()), col(-1, owner.tolist(), pa.int32()), ids, col(part["_held"].to_pylist(), none, pa.list_(pa.bool_())), col(planes(np.diff(bounds)), none, pa.binary()), col(planes(where), none, pa.binary()),
+                        col(known.tobytes(), [known[r].tobytes() for r in runs], pa.binary()), col(None, [planes(counts[r]) for r in runs], pa.binary()),
                     ],
-                    names=["chunk", "part", "ids", "keys", "held", "lengths", "spots", "words", "counts"],
+                    names=["chunk", "part", "ids", "held", "lengths", "spots", "words", "counts"],
                 )
 
     return made
@@ -192,130 +197,99 @@ def _count(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _COUNTED, strict=True)], schema=_COUNTED)
 
 
-def _pairs(parts: int):
-    """For each chunk and part, the distinct training bigrams (6 bytes each) and their counts."""
+def _sequence(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's tokens and bounds again."""
+    return np.frombuffer(row["words"], np.uint64)[unplanes(row["spots"])], np.concatenate([[0], np.cumsum(unplanes(row["lengths"]))]).astype(np.int64)
+
+
+def _short(keys: np.ndarray) -> bytes:
+    """Bigram keys without the two bytes that are 0."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    full = np.zeros((len(blob) // 6, 8), np.uint8)
+    full[:, 2:] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return full.view(np.uint64).ravel()
+
+
+def _pairs(parts: int, train: bool):
+    """For each chunk and part, the chunk's distinct bigrams and their counts: those of training texts, or all."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces(batch["_text"], CHUNK):
-                part = batch.slice(a, b - a)
-                seq, bounds = _tokens(part["_text"])
-                known, counts = np.unique(pair_keys(_before(seq, bounds), seq)[_train(part, bounds)], return_counts=True)
-                owner = part_of(known, parts)
-                starts = np.flatnonzero(np.diff(owner, prepend=-1))
-                short = known.view(np.uint8).reshape(-1, 8)[:, 2:]
-                ends = [*starts[1:].tolist(), len(known)]
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                seq, bounds = _sequence(row)
+                keys = pair_keys(_before(seq, bounds), seq)
+                known, counts = np.unique(keys[np.repeat(~np.array(row["held"], bool), np.diff(bounds))] if train else keys, return_counts=True)
+                owner, runs = _runs(known, parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner[starts], pa.int32()), pa.array([short[s:e].tobytes() for s, e in zip(starts, ends, strict=False)], pa.binary()), pa.array([planes(counts[s:e]) for s, e in zip(starts, ends, strict=False)], pa.binary())],
-                    names=["part", "pairs", "counts"],
+                    [pa.array([row["chunk"]] * len(runs), pa.int64()), pa.array(owner, pa.int32()), pa.array([_short(known[r]) for r in runs], pa.binary()), pa.array([planes(counts[r]) for r in runs], pa.binary())],
+                    names=["chunk", "part", "pairs", "counts"],
                 )
 
     return made
 
 
 def _pair_filter(table: pa.Table) -> pa.Table:
-    keys = []
-    for x in table["pairs"].to_pylist():
-        full = np.zeros((len(x) // 6, 8), np.uint8)
-        full[:, 2:] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        keys.append(full.view(np.uint64).ravel())
+    keys = [_long(x) for x in table["pairs"].to_pylist()]
     known, sums, _ = _summed(keys, [unplanes(x) for x in table["counts"].to_pylist()])
     blob = build(known, sums, BIGRAM_BASE, BITS).tobytes()
     return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "size": pa.array([len(blob)], pa.int64()), "bits": pa.array([blob], pa.binary())})
 
 
-def _unigram_filter(bits_each: float):
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [build(np.frombuffer(k, np.uint64), unplanes(t), UNIGRAM_BASE, bits_each).tobytes() for k, t in zip(batch["keys"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["part"], pa.array([len(x) for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "size", "bits"])
-
-    return made
-
-
-def _base(table: pa.Table) -> pa.Table:
-    """One chunk: for each text its tokens, those known, and the sum of log10(c + 0.1)."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-    doc = rows[0]
-    counts = np.concatenate([unplanes(r["counts"]) for r in rows[1:]])
-    lengths, where = unplanes(doc["lengths"]), unplanes(doc["spots"])
-    starts = np.cumsum(lengths) - lengths
-    sums = np.add.reduceat(np.log10(counts + 0.1)[where], starts)
-    known = np.add.reduceat((counts > 0)[where].astype(np.int64), starts)
-    return pa.table({"_id": pa.array(doc["ids"], pa.int64()), "_k": pa.array(doc["keys"], pa.int64()), "held_out": pa.array(doc["held"], pa.bool_()), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()), "_sum": pa.array(sums, pa.float64())})
+def _unigram_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        blobs = [build(np.frombuffer(k, np.uint64), unplanes(t), UNIGRAM_BASE, BITS).tobytes() for k, t in zip(batch["keys"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch["part"], pa.array([len(x) for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "size", "bits"])
 
 
-def _sums(seq: np.ndarray, bounds: np.ndarray, counts: np.ndarray, two: Filter, total: int, distinct: int, starts: int, first: bool) -> np.ndarray:
-    """For each text the model's log10 probability, from its tokens and their counts; in a pass after the first, only
-    what its bigrams add."""
-    alone = (counts + 0.1) / (total + 0.1 * (distinct + 1))
-    after = np.empty(len(seq))
-    after[1:] = counts[:-1]
-    after[bounds[:-1]] = starts
-    pairs, at = np.unique(pair_keys(_before(seq, bounds), seq), return_inverse=True)
-    both = np.minimum(two.count(pairs)[at], np.minimum(after, counts))
-    unseen = np.log10(PRIOR * alone / (after + PRIOR))
-    value = np.log10((both + PRIOR * alone) / (after + PRIOR))
-    return np.add.reduceat(value if first else value - unseen, bounds[:-1])
+def _answered(parts: int, base: float, read):
+    """A part's filter, asked for what each chunk has there."""
 
-
-def _score(unigrams, bigrams, *model):
-    """The sums of each text, with the unigram filter at hand."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = unigrams.value, bigrams.value
-        for batch in batches:
-            for a, b in pieces(batch["_text"], SCORED):
-                part = batch.slice(a, b - a)
-                seq, bounds = _tokens(part["_text"])
-                known, where = np.unique(seq, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([part["_k"], pa.array(_sums(seq, bounds, one.count(known)[where], two, *model), pa.float64())], names=["_k", "_part"])
-
-    return made
-
-
-def _answered(parts: int):
-    """A part's filter, asked for the tokens of each chunk."""
-
-    def made(words: pa.Table, filters: pa.Table) -> pa.Table:
+    def made(asked: pa.Table, filters: pa.Table) -> pa.Table:
         blobs = [(r["part"], r["bits"]) for r in filters.select(["part", "bits"]).to_pylist()]
-        one = Filter(iter(blobs), {p: len(x) for p, x in blobs}, UNIGRAM_BASE, parts)
-        levels = [planes(one.level(np.frombuffer(x, np.uint64))) for x in words["words"].to_pylist()]
-        return pa.table({"chunk": words["chunk"], "part": words["part"], "words": words["words"], "levels": pa.array(levels, pa.binary())})
+        one = Filter(iter(blobs), {p: len(x) for p, x in blobs}, base, parts)
+        return pa.table({"chunk": asked["chunk"], "part": asked["part"], "levels": pa.array([planes(one.level(read(x))) for x in asked["keys"].to_pylist()], pa.binary())})
 
     return made
 
 
-def _whole(table: pa.Table) -> pa.Table:
-    """One chunk: its texts' keys and tokens, its distinct tokens and their levels."""
-    doc, *rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-    levels = planes(np.concatenate([unplanes(r["levels"]) for r in rows]))
-    return pa.table({"keys": pa.array([doc["keys"]], pa.list_(pa.int64())), **{c: pa.array([x], pa.binary()) for c, x in (("lengths", doc["lengths"]), ("spots", doc["spots"]), ("words", b"".join(r["words"] for r in rows)), ("levels", levels))}})
+def _scored(unigrams, bigrams, total: int, distinct: int, starts: int, id_type: pa.DataType):
+    """One chunk: for each text its tokens, those known, its base score and the model's score. Counts come from the
+    filters at hand, or from the levels that the parts have told."""
+
+    def made(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        doc, told = rows[0], {k: np.concatenate([unplanes(r["levels"]) for r in rows if r["kind"] == k] or [np.zeros(0, np.int64)]) for k in ("count", "one", "two")}
+        (seq, bounds), spots = _sequence(doc), unplanes(doc["spots"])
+        exact = told["count"]
+        read = lambda blooms, keys, levels, base: blooms.value.count(keys) if blooms else middle(levels, base)
+        counts = read(unigrams, np.frombuffer(doc["words"], np.uint64), told["one"], UNIGRAM_BASE)[spots]
+        pairs, at = np.unique(pair_keys(_before(seq, bounds), seq), return_inverse=True)
+        both = read(bigrams, pairs, told["two"], BIGRAM_BASE)[at]
+        alone = (counts + 0.1) / (total + 0.1 * (distinct + 1))
+        after = np.empty(len(seq))
+        after[1:] = counts[:-1]
+        after[bounds[:-1]] = starts
+        values = np.log10((np.minimum(both, np.minimum(after, counts)) + PRIOR * alone) / (after + PRIOR))
+        summed = lambda x: np.add.reduceat(x, bounds[:-1])
+        base = np.log10(exact + 0.1)[spots] - math.log10(total + 0.1 * (distinct + 1))
+        return pa.table({
+            "_id": pa.array(doc["ids"], id_type), "held_out": pa.array(doc["held"], pa.bool_()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "n_known": pa.array(summed((exact > 0)[spots].astype(np.int64)), pa.int64()),
+            "base_score": pa.array(summed(base), pa.float64()), "score": pa.array(summed(values), pa.float64()),
+        })
 
+    return made
 
-def _score_whole(bigrams, *model):
-    """The sums of each text, from chunks that know their tokens' levels."""
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        two = bigrams.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                known, where = np.frombuffer(row["words"], np.uint64), unplanes(row["spots"])
-                counts = middle(unplanes(row["levels"]), UNIGRAM_BASE)
-                bounds, a = np.concatenate([[0], np.cumsum(unplanes(row["lengths"]))]), 0
-                while a < len(bounds) - 1:
-                    b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + SCORED // 6, "right")) - 1)
-                    own = where[bounds[a] : bounds[b]]
-                    sums = _sums(known[own], bounds[a : b + 1] - bounds[a], counts[own], two, *model)
-                    yield pa.RecordBatch.from_arrays([pa.array(row["keys"][a:b], pa.int64()), pa.array(sums, pa.float64())], names=["_k", "_part"])
-                    a = b
-
-    return made
+def _words(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.uint64)
 
 
 def _sizes(table: DataFrame) -> dict[int, int]:
-    """Bytes of each part's filter: a row for each of at most 4096 parts."""
+    """Bytes of each part's filter: a row for each part, and those are as many as the session's tasks."""
     return {r[0]: r[1] for r in table.select("part", "size").orderBy("part").collect()}
 
 
@@ -326,65 +300,55 @@ def _gathered(table: DataFrame, sizes: dict[int, int], base: float, parts: int)
 
 
 def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: its id (long), held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row for each row of docs: its id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens: words `[^\x20\x09-\x0D]+`, A-Z lower-cased, then one end. Rows with crc32(id as text) mod modulus = 0
     are held out of the counts (a null id counts as empty text, and so is held out). base_score comes from exact
     unigram counts. score is the log10 probability of a bigram model whose counts come from the filters:
-    (c(uv) + PRIOR p(v)) / (c(u) + PRIOR), with p as in the base; log10 of the product over the tokens.
+    (c(uv) + PRIOR p(v)) / (c(u) + PRIOR), with p as in the base; log10 of the product over the tokens. A filter answers
+    a level too high for one probe in 45, whatever the size of the corpus; so much the score differs from that of
+    exact levels.
 
     Null or empty text: the end alone. Repeated rows: ordinary, each counts. An empty table gives an empty table;
     without training rows every count is 0. Other columns aren't looked at; texts are taken whole.
 
-    Plan: exact counts: distinct tokens of each chunk shuffle to parts by hash, are summed, and answer the chunks
+    Plan: one pass over the texts makes chunks of some CHUNK bytes, in a table of the shared folder; all else works on
+    those. Exact counts: distinct tokens of each chunk shuffle to parts by hash, are summed, and answer the chunks
     (chunks.py). Bigrams: 6 bytes for each distinct one of a chunk shuffle to parts; each part builds its own piece
-    of the filter. The filters' sizes are summed first; up to BROADCAST_BYTES go to every executor at once, more in
-    several passes over the texts (the passes' sums add up to the score). Unigram filters beyond a quarter of it answer
-    the chunks by part instead, with the same bits. Texts themselves are never shuffled.
+    of the filter. The filters' sizes are summed first. Up to BROADCAST_BYTES go to every executor, and chunks probe
+    them there; beyond, the chunks' distinct n-grams go to the parts and their levels come back. Both ways read the
+    same bits, so scores are the same; either way, work and shuffle are in proportion to the text. Texts themselves
+    are never shuffled, and a chunk's rows meet once, for its result.
     """
     spark = docs.sparkSession
     parts = part_count(spark)
     held = F.col(held_out) if held_out else remainder(F.col(id_col), modulus) == 0
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(id_col, text_col).alias("_k"), held.alias("_held"), F.col(text_col).alias("_text"))
-    cut = settle(rows.mapInArrow(tidied(_cut(parts)), _CUT), "tokens")
-    counted = settle(cut.filter("part >= 0").select("chunk", "part", "words", "counts").groupBy("part").applyInArrow(tidied(_count), "chunk long, part int, counts binary, n long, v long, insertions long, keys binary, totals binary"), "counts")
-    sums = counted.filter("chunk is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("insertions"), F.lit(0))).first()
-    total, distinct, insertions = map(int, sums)
-    starts = rows.filter("not _held").count()
-    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter(BITS)), "part int, size long, bits binary"), "unigrams")
-    table = settle(rows.select("_held", "_text").mapInArrow(tidied(_pairs(parts)), "part int, pairs binary, counts binary").groupBy("part").applyInArrow(tidied(_pair_filter), "part int, size long, bits binary"), "bigrams")
-    unigrams = whole = None
-    if insertions * BITS / 8 <= BROADCAST_BYTES / 4:
-        unigrams = spark.sparkContext.broadcast(_gathered(few, _sizes(few), UNIGRAM_BASE, parts))
-    else:  # the same filters answer by part
-        asked = cut.filter("part >= 0").select("chunk", "part", "words").groupBy("part").cogroup(few.select("part", "bits").groupBy("part"))
-        told = asked.applyInArrow(tidied(_answered(parts)), "chunk long, part int, words binary, levels binary")
-        told = cut.filter("part < 0").select("chunk", "part", "keys", "lengths", "spots").unionByName(told, allowMissingColumns=True)
-        whole = settle(told.groupBy("chunk").applyInArrow(tidied(_whole), "keys array<long>, lengths binary, spots binary, words binary, levels binary"), "levels")
-    passes, room = [{}], 0
-    for part, size in _sizes(table).items():
-        if room + size > BROADCAST_BYTES and passes[-1]:
-            passes.append({})
-            room = 0
-        passes[-1][part] = size
-        room += size
-    scored = None
-    for k, own in enumerate(passes):
-        bigrams = spark.sparkContext.broadcast(_gathered(table, own, BIGRAM_BASE, parts))
-        model = bigrams, total, distinct, starts, k == 0
-        part = rows.select("_k", "_text").mapInArrow(tidied(_score(unigrams, *model)), "_k long, _part double") if whole is None else whole.mapInArrow(tidied(_score_whole(*model)), "_k long, _part double")
-        one = settle(part, "scores").withColumn("_pass", F.lit(k))
-        bigrams.destroy()  # the executors' memory is free again before the next pass
-        scored = one if scored is None else scored.unionByName(one)
-    if unigrams:
-        unigrams.destroy()
-    model = scored.groupBy("_k", "_pass").agg(F.max("_part").alias("_part")).groupBy("_k").agg(F.sum("_part").alias("score"))  # repeated rows score alike
-    both = cut.filter("part < 0").select("chunk", "part", "ids", "keys", "held", "lengths", "spots").unionByName(counted.filter("chunk is not null").select("chunk", "part", "counts"), allowMissingColumns=True)
-    base = both.groupBy("chunk").applyInArrow(tidied(_base), "_id long, _k long, held_out boolean, n_tokens long, n_known long, _sum double")
-    scale = math.log10(total + 0.1 * (distinct + 1))
-    return base.join(model, "_k").select(
-        F.col("_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("_sum") - F.col("n_tokens") * scale).alias("base_score"), "score"
-    )
+    rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("_text"))
+    kind = rows.schema["_id"].dataType
+    cut = settle(rows.mapInArrow(tidied(_cut(parts)), _cut_schema(kind.simpleString())), "tokens")
+    whole, split = cut.filter("part < 0"), cut.filter("part >= 0")
+    counted = settle(split.select("chunk", "part", "words", "counts").groupBy("part").applyInArrow(tidied(_count), "chunk long, part int, counts binary, n long, v long, insertions long, keys binary, totals binary"), "counts")
+    total, distinct = map(int, counted.filter("chunk is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first())
+    starts = int(whole.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0])
+    filters = "part int, size long, bits binary"
+    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter), filters), "unigrams")
+    grams = "chunk long, part int, pairs binary, counts binary"
+    many = settle(whole.mapInArrow(tidied(_pairs(parts, True)), grams).groupBy("part").applyInArrow(tidied(_pair_filter), filters), "bigrams")
+    told = [counted.filter("chunk is not null").select("chunk", "part", F.col("counts").alias("levels"), F.lit("count").alias("kind"))]
+    kept = []
+    asked = {"one": lambda: split.select("chunk", "part", F.col("words").alias("keys")), "two": lambda: whole.mapInArrow(tidied(_pairs(parts, False)), grams).select("chunk", "part", F.col("pairs").alias("keys"))}
+    for name, table, base, room, read in (("one", few, UNIGRAM_BASE, BROADCAST_BYTES / 4, _words), ("two", many, BIGRAM_BASE, BROADCAST_BYTES, _long)):
+        if table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] <= room:
+            kept.append(spark.sparkContext.broadcast(_gathered(table, _sizes(table), base, parts)))
+        else:
+            kept.append(None)
+            both = asked[name]().groupBy("part").cogroup(table.select("part", "bits").groupBy("part"))
+            told.append(both.applyInArrow(tidied(_answered(parts, base, read)), "chunk long, part int, levels binary").withColumn("kind", F.lit(name)))
+    both = whole.select("chunk", "part", "ids", "held", "lengths", "spots", "words")
+    for more in told:
+        both = both.unionByName(more, allowMissingColumns=True)
+    done = both.groupBy("chunk").applyInArrow(tidied(_scored(*kept, total, distinct, starts, to_arrow_type(kind))), f"_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return done.select(F.col("_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def query(docs: DataFrame) -> DataFrame:
