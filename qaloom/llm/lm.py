@@ -20,6 +20,8 @@ BITS, PROBES = 8, 5
 #: Bytes of bigram filter that go to every executor, and of unigram filter a quarter of that. Filters beyond it aren't
 #: sent: the chunks' probes go to the parts instead, where the same bits answer them.
 BROADCAST_BYTES = 128 << 20
+#: Tokens scored at once.
+SCORED = 1 << 18
 #: Levels: a count c stands at level 1 + floor(log(c) / log(base)); no count is beyond 2**62.
 UNIGRAM_BASE, BIGRAM_BASE, MOST = 2**0.25, 2.0, 62
 #: Weight, in counts, of the unigram model against what has been seen after the word before.
@@ -263,22 +265,27 @@ def _scored(unigrams, bigrams, total: int, distinct: int, starts: int, id_type:
     def made(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["part"])
         doc, told = rows[0], {k: np.concatenate([unplanes(r["levels"]) for r in rows if r["kind"] == k] or [np.zeros(0, np.int64)]) for k in ("count", "one", "two")}
-        (seq, bounds), spots = _sequence(doc), unplanes(doc["spots"])
+        words, spots, bounds = _words(doc["words"]), unplanes(doc["spots"]), np.concatenate([[0], np.cumsum(unplanes(doc["lengths"]))]).astype(np.int64)
         exact = told["count"]
-        read = lambda blooms, keys, levels, base: blooms.value.count(keys) if blooms else middle(levels, base)
-        counts = read(unigrams, np.frombuffer(doc["words"], np.uint64), told["one"], UNIGRAM_BASE)[spots]
-        pairs, at = np.unique(pair_keys(_before(seq, bounds), seq), return_inverse=True)
-        both = read(bigrams, pairs, told["two"], BIGRAM_BASE)[at]
-        alone = (counts + 0.1) / (total + 0.1 * (distinct + 1))
-        after = np.empty(len(seq))
-        after[1:] = counts[:-1]
-        after[bounds[:-1]] = starts
-        values = np.log10((np.minimum(both, np.minimum(after, counts)) + PRIOR * alone) / (after + PRIOR))
-        summed = lambda x: np.add.reduceat(x, bounds[:-1])
-        base = np.log10(exact + 0.1)[spots] - math.log10(total + 0.1 * (distinct + 1))
+        counts = unigrams.value.count(words) if unigrams else middle(told["one"], UNIGRAM_BASE)
+        base, alone = np.log10(exact + 0.1) - math.log10(total + 0.1 * (distinct + 1)), (counts + 0.1) / (total + 0.1 * (distinct + 1))
+        asked = None if bigrams else np.unique(pair_keys(_before(words[spots], bounds), words[spots]))
+        sums, a = np.empty((3, len(bounds) - 1)), 0
+        while a < len(bounds) - 1:  # some texts at a time: probing takes some hundred bytes a token
+            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + SCORED, "right")) - 1)
+            here, ends = spots[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+            seq = words[here]
+            pairs, at = np.unique(pair_keys(_before(seq, ends), seq), return_inverse=True)
+            both = bigrams.value.count(pairs) if bigrams else middle(told["two"][np.searchsorted(asked, pairs)], BIGRAM_BASE)
+            after = np.empty(len(seq))
+            after[1:] = counts[here[:-1]]
+            after[ends[:-1]] = starts
+            values = np.log10((np.minimum(both[at], np.minimum(after, counts[here])) + PRIOR * alone[here]) / (after + PRIOR))
+            sums[:, a:b] = [np.add.reduceat(x, ends[:-1]) for x in ((exact[here] > 0).astype(float), base[here], values)]
+            a = b
         return pa.table({
-            "_id": pa.array(doc["ids"], id_type), "held_out": pa.array(doc["held"], pa.bool_()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "n_known": pa.array(summed((exact > 0)[spots].astype(np.int64)), pa.int64()),
-            "base_score": pa.array(summed(base), pa.float64()), "score": pa.array(summed(values), pa.float64()),
+            "_id": pa.array(doc["ids"], id_type), "held_out": pa.array(doc["held"], pa.bool_()), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "n_known": pa.array(sums[0].astype(np.int64), pa.int64()),
+            "base_score": pa.array(sums[1], pa.float64()), "score": pa.array(sums[2], pa.float64()),
         })
 
     return made
