@@ -234,17 +234,22 @@ def _pairs(parts: int, train: bool):
     return made
 
 
-def _pair_filter(table: pa.Table) -> pa.Table:
-    keys = [_long(x) for x in table["pairs"].to_pylist()]
-    known, sums, _ = _summed(keys, [unplanes(x) for x in table["counts"].to_pylist()])
-    blob = build(known, sums, BIGRAM_BASE, BITS).tobytes()
-    return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "size": pa.array([len(blob)], pa.int64()), "bits": pa.array([blob], pa.binary())})
+def _pair_filter(bits: int):
+    def made(table: pa.Table) -> pa.Table:
+        known, sums, _ = _summed([_long(x) for x in table["pairs"].to_pylist()], [unplanes(x) for x in table["counts"].to_pylist()])
+        blob = build(known, sums, BIGRAM_BASE, bits).tobytes()
+        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "size": pa.array([len(blob)], pa.int64()), "bits": pa.array([blob], pa.binary())})
+
+    return made
 
 
-def _unigram_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blobs = [build(np.frombuffer(k, np.uint64), unplanes(t), UNIGRAM_BASE, BITS).tobytes() for k, t in zip(batch["keys"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch["part"], pa.array([len(x) for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "size", "bits"])
+def _unigram_filter(bits: int):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = [build(np.frombuffer(k, np.uint64), unplanes(t), UNIGRAM_BASE, bits).tobytes() for k, t in zip(batch["keys"].to_pylist(), batch["totals"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["part"], pa.array([len(x) for x in blobs], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "size", "bits"])
+
+    return made
 
 
 def _answered(parts: int, base: float, read):
@@ -338,9 +343,9 @@ def score(docs: DataFrame, held_out: str | None = None, modulus: int = 10, id_co
     total, distinct = map(int, counted.filter("chunk is null").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first())
     starts = int(whole.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0])
     filters = "part int, size long, bits binary"
-    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter), filters), "unigrams")
+    few = settle(counted.filter("chunk is null and v > 0").select("part", "keys", "totals").mapInArrow(tidied(_unigram_filter(BITS)), filters), "unigrams")
     grams = "chunk long, part int, pairs binary, counts binary"
-    many = settle(whole.mapInArrow(tidied(_pairs(parts, True)), grams).groupBy("part").applyInArrow(tidied(_pair_filter), filters), "bigrams")
+    many = settle(whole.mapInArrow(tidied(_pairs(parts, True)), grams).groupBy("part").applyInArrow(tidied(_pair_filter(BITS)), filters), "bigrams")
     told = [counted.filter("chunk is not null").select("chunk", "part", F.col("counts").alias("levels"), F.lit("count").alias("kind"))]
     kept = []
     asked = {"one": lambda: split.select("chunk", "part", F.col("words").alias("keys")), "two": lambda: whole.mapInArrow(tidied(_pairs(parts, False)), grams).select("chunk", "part", F.col("pairs").alias("keys"))}

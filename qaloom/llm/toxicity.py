@@ -208,10 +208,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modul
     rank = F.xxhash64(F.lit("sample"), "_id")
     some = known.filter("_label = 0").orderBy(rank, "_id").limit(per_class).union(known.filter("_label = 1").orderBy(rank, "_id").limit(per_class))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(some), "_id").orderBy(F.xxhash64("_id", "_text"), "_label").limit(2 * per_class)
-    both = np.array([shares.get(0, 0), shares.get(1, 0)], float)
+    both, half = np.array([shares.get(0, 0), shares.get(1, 0)], float), FIT_BYTES / 2
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, labels, room = [(np.zeros((1 + len(HEADS), 0), np.uint64), np.zeros(1, np.int64))], [np.zeros(0, np.int64)], [FIT_BYTES / 2] * 2
+        got, labels, room = [(np.zeros((1 + len(HEADS), 0), np.uint64), np.zeros(1, np.int64))], [np.zeros(0, np.int64)], [half] * 2
         for batch in batches:
             own, sizes = batch["_label"].to_numpy(), pc.binary_length(batch["_text"]).to_numpy()
             keep = np.zeros(len(own), bool)
