@@ -80,7 +80,8 @@ def html_paragraphs(markup: Column) -> Column:
 def native(markup: Column) -> Column:
     """html_text without Python, for pages with matched script and style tags and the entities above."""
     text = markup
-    for pattern in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"<[!/a-zA-Z][^>]*>"):
+    # what nothing closes runs to the end, so each character is looked at a few times only
+    for pattern in (r"(?is)<script\b.*?(?:</script\s*+>|\z)", r"(?is)<style\b.*?(?:</style\s*+>|\z)", r"(?s)<!--.*?(?:-->|\z)", r"<[!/a-zA-Z][^>]*+(?:>|\z)"):
         text = F.regexp_replace(text, pattern, "")
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))

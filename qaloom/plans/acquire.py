@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.urls import metadata_urls, valid_urls
 from ..sources.fetch import Fetcher, PdfDecoder, fetch
+from ..sources.files import checkpoint_batch, remaining
 
 
 def question_urls(qa: DataFrame, key: str = "row_id", metadata: str = "metadata") -> DataFrame:
@@ -25,10 +26,24 @@ def with_documents(qa: DataFrame, fetched: DataFrame, key: str = "row_id", metad
     return qa.drop("documents").join(listed, key, "left").withColumn("documents", F.coalesce("documents", F.array().cast("array<string>")))
 
 
-def acquire(qa: DataFrame, make_fetcher: Callable[[], Fetcher], pdf: PdfDecoder | None = None, key: str = "row_id", metadata: str = "metadata", config: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """qa with documents, and the log of fetches: a row for each distinct URL. Write the log before using both, or the
-    network is asked twice."""
-    log = fetch(question_urls(qa, key, metadata), make_fetcher, pdf, config)
+def acquire(qa: DataFrame, make_fetcher: Callable[[], Fetcher], pdf: PdfDecoder | None = None, key: str = "row_id", metadata: str = "metadata", config: Config = DEFAULT, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """qa with documents, and the log of fetches: a row for each distinct URL.
+
+    With store, a folder, the log is written there and read back, so the network is asked once; a restart asks only for
+    URLs that no earlier batch in the folder has. Without it, write the log before using both, or the network is asked
+    twice.
+    """
+    asked = question_urls(qa, key, metadata)
+    if store is None:
+        log = fetch(asked, make_fetcher, pdf, config)
+    else:
+        spark, number = qa.sparkSession, 0
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            done = spark.read.parquet(store)
+            number, asked = done.agg(F.max("batch_id")).first()[0] + 1, remaining(asked, done, "url")
+        checkpoint_batch(fetch(asked, make_fetcher, pdf, config), store, number)
+        log = spark.read.parquet(store).drop("batch_id")
     return with_documents(qa, log, key, metadata), log
 
 

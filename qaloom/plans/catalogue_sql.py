@@ -130,11 +130,21 @@ def flatten(x: str) -> str:
 
 
 def html(x: str) -> str:
-    for pattern in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->", r"<[!/a-zA-Z][^>]*>"):
-        x = f"regexp_replace({x}, '{pattern}', '', 'g')"
+    return flatten(markup(x))
+
+
+def markup(x: str, structured: bool = False) -> str:
+    tags = [(r"(?i)<br\b[^>]*>", "\n"), (r"(?i)</p\s*>", "\n\n")] if structured else []
+    for pattern, by in [(r"(?is)<script\b.*?(</script\s*>|\z)", ""), (r"(?is)<style\b.*?(</style\s*>|\z)", ""), (r"(?s)<!--.*?(-->|\z)", ""), *tags, (r"<[!/a-zA-Z][^>]*(>|\z)", "")]:
+        x = f"regexp_replace({x}, '{pattern}', '{by}', 'g')"
     for entity, char in ENTITIES.items():
         x = f"replace({x}, {q(entity)}, {q(char)})"
-    return flatten(x)
+    return x
+
+
+def paragraph_lines(x: str) -> str:
+    lines = f"list_transform(string_split_regex({x}, '{BREAK}'), lambda l: {strip('l')})"
+    return f"(SELECT regexp_replace(array_to_string(list_filter(a, lambda x, i: x <> '' OR (i > 1 AND a[i - 1] <> '')), chr(10) || chr(10)), '^\\n+|\\n+\\z', '', 'g') FROM (SELECT {lines} AS a))"
 
 
 _DISPATCH = "CASE WHEN contains(k, 'pdf') OR ends_with(lower(url), '.pdf') THEN 'pdf' WHEN contains(k, 'html') OR ends_with(lower(url), '.html') OR ends_with(lower(url), '.htm') THEN 'html' WHEN contains(k, 'text') OR ends_with(lower(url), '.txt') THEN 'text' ELSE 'guess' END"
@@ -146,7 +156,21 @@ _LONG = f"""{PROFILED}, todo AS (SELECT row_id, {strip("problem")} AS question,
  told AS (SELECT row_id, CASE WHEN p IS NOT NULL AND len({words("p")}) <= 600 THEN p ELSE {window("doc", "length(clean)", "spot")} END AS passage FROM near)
 SELECT row_id, coalesce(passage, segment, '') AS long_answer FROM profiled LEFT JOIN told USING (row_id) LEFT JOIN (SELECT row_id, segment FROM best2 WHERE pos = 0) USING (row_id)"""
 
+# What the made-up fetcher answers: an encyclopedia page its title; of the others every seventh by length nothing, and the
+# rest a page, text or PDF with the address.
+FETCHED = f"""got AS (SELECT url, {_WIKI} AND coalesce({_TITLE}, '') <> '' AS via, {_TITLE} AS title FROM asked_urls GROUP BY url),
+ fetched AS (SELECT url, via, via OR length(url) % 7 <> 0 AS ok, CASE WHEN via THEN {strip("title")} || repeat(chr(10), 4) || 'two' WHEN length(url) % 7 = 0 THEN NULL
+ WHEN ends_with(lower(url), '.pdf') THEN {strip("'pdf ' || url")} WHEN ends_with(lower(url), '.txt') THEN 'txt ' || url ELSE {flatten("'page  ' || url")} END AS text FROM got)"""
+ASKED = f"""asked AS (SELECT row_id, i, {strip("u[i]")} AS url FROM (SELECT row_id, u, unnest(generate_series(1, len(u))) AS i FROM (SELECT row_id, {urls_of("metadata")} AS u FROM questions)) WHERE starts_with({strip("u[i]")}, 'http'))"""
+_CHOSEN = "(SELECT row_id, segment FROM (SELECT b.row_id, pos, segment, count(*) OVER (PARTITION BY b.row_id) AS m, problem FROM best2 b JOIN (SELECT row_id, problem FROM profiled) USING (row_id)) WHERE pos = CASE WHEN length(problem) % 2 = 1 AND m >= 2 THEN 1 ELSE 0 END)"
+
 ORACLES = {
+    "fetch_fake": f"WITH {ADDRESSES}, asked_urls AS (SELECT url FROM addresses WHERE url <> ''), {FETCHED} SELECT url, via AS via_api, via AS api_ok, ok, md5(text) AS text_md5 FROM fetched",
+    "acquire_fake": f"WITH {QUESTIONS}, {ASKED}, asked_urls AS (SELECT url FROM asked), {FETCHED}, listed AS (SELECT row_id, count(*) AS n, string_agg(text, '|' ORDER BY i) AS d FROM asked JOIN fetched USING (url) WHERE text IS NOT NULL GROUP BY row_id) SELECT row_id, CAST(coalesce(n, 0) AS INTEGER) AS n, md5(coalesce(d, '')) AS documents_md5 FROM questions LEFT JOIN listed USING (row_id)",
+    "pdf_fake": f"WITH {ADDRESSES} SELECT url, {strip('url')} AS text FROM addresses",
+    "judge_fake": f"WITH {THREADS}, cut AS ({segments('threads', 'conv_id, turns', 'doc')}), told AS (SELECT conv_id, segment FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS m FROM cut) WHERE i = CASE WHEN length(turns[1]) % 2 = 1 AND m >= 2 THEN 1 ELSE 0 END) SELECT conv_id, segment AS passage FROM threads LEFT JOIN told USING (conv_id)",
+    "long_answer_judge": "WITH " + _LONG.replace("(SELECT row_id, segment FROM best2 WHERE pos = 0)", _CHOSEN),
+    "html_paragraphs": f"SELECT page_id, {paragraph_lines(markup('html', True))} AS text FROM pages",
     "word_count": f"SELECT doc_id, CAST(len({words('text')}) AS BIGINT) AS n_words FROM documents",
     "bm25_tokens": f"SELECT doc_id, CAST(len({tokens('text')}) AS BIGINT) AS n_tokens, md5(array_to_string({tokens('text')}, ' ')) AS tokens_md5 FROM documents",
     "answer_position": f"SELECT doc_id, item_id, chars, CAST(len({words('substr(t, 1, chars)')}) AS BIGINT) AS words FROM (SELECT doc_id, item_id, d.text AS t, CAST(strpos(lower(d.text), lower(b.text)) - 1 AS BIGINT) AS chars FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text)) WHERE b.text <> '')",

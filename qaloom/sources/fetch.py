@@ -28,6 +28,9 @@ class Reply(NamedTuple):
 Fetcher = Callable[[str, dict | None], Reply]
 PdfDecoder = Callable[[bytes], str]
 
+#: Tasks that may ask one host, each with so many threads and such a delay as Config says.
+HOST_TASKS = 8
+
 _RAW = "url string, via_api boolean, api_body string, ok boolean, content_type string, body binary"
 
 
@@ -61,7 +64,9 @@ def fetch(urls: DataFrame, make_fetcher: Callable[[], Fetcher], pdf: PdfDecoder
     """
     wiki = is_wiki(F.col("url"))
     asked = urls.select("url").filter("url is not null").dropDuplicates(["url"]).withColumn("api", F.when(wiki & F.coalesce(wiki_api(F.col("url"))["titles"] != "", F.lit(False)), wiki_api(F.col("url"))))
-    asked = asked.repartition(parts, "url") if parts else asked
+    # by host, so that HOST_TASKS tasks at most ask one host; a stated number of partitions isn't packed into fewer
+    host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
+    asked = asked.repartition(parts or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), host, F.pmod(F.xxhash64("url"), F.lit(HOST_TASKS)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = make_fetcher()
@@ -116,3 +121,20 @@ def with_text(df: DataFrame, kind: Column, body: Column, pdf: PdfDecoder | None
 def pdf_text(files: DataFrame, pdf: PdfDecoder) -> DataFrame:
     """Rows of Spark's binaryFile source, with text."""
     return with_text(files, F.lit("pdf"), F.col("content"), pdf).select("path", "text")
+
+
+def pypdf_decoder() -> PdfDecoder | None:
+    """The text of a PDF's pages by the package pypdf; None if it isn't installed, and then PDFs have no text."""
+    try:
+        import pypdf  # noqa: F401
+    except ImportError:
+        return None
+
+    def decode(body: bytes) -> str:
+        import io
+
+        from pypdf import PdfReader
+
+        return "\n".join(page.extract_text() or "" for page in PdfReader(io.BytesIO(body)).pages)
+
+    return decode

@@ -40,10 +40,17 @@ def replace_parquet(df: DataFrame, path: str) -> None:
     df.write.parquet(staging)
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(at):
-        fs.rename(at, jvm.org.apache.hadoop.fs.Path(old))
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), at)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    move = lambda a, b: fs.rename(jvm.org.apache.hadoop.fs.Path(a), jvm.org.apache.hadoop.fs.Path(b))
+    there = fs.exists(at)
+    # rename tells failure by its result; the old data goes last, when the new is in its place
+    if there and not move(path, old):
+        raise OSError(f"{path} could not be set aside; the new data is in {staging}")
+    if not move(staging, path):
+        if there and not move(old, path):
+            raise OSError(f"{path} could not be replaced; its data is in {old}, the new in {staging}")
+        raise OSError(f"{path} could not be replaced and is as it was; the new data is in {staging}")
+    if there:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
 
 
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -52,8 +59,9 @@ def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def checkpoint_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append a finished batch; remaining() reads them."""
-    df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(path)
+    """Write a finished batch as its own partition of path, so that a repeated one replaces itself; remaining() reads
+    them all."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def _legacy(cell, strict: bool) -> list[str]:

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from qaloom.config import Config
@@ -141,3 +142,49 @@ def test_every_query_has_rows_and_names(spark):
 
     assert {k for k in entry.oracle_sql()} <= {k for k in entry.queries()}
     assert entry.entry(spark).columns == ["row_id", "long_answer"]
+
+
+def test_contains_join_keeps_repeated_rows(spark):
+    from qaloom.operators.contains_join import contains_join
+
+    texts = spark.createDataFrame([(None, "xx The Needle in hay"), (None, "xx The Needle in hay"), (1, None), (2, ""), (3, "a long needle that is well beyond an anchor, truly")], "id long, text string")
+    needles = spark.createDataFrame([("n", "needle"), ("n", "needle"), (None, ""), ("l", "NEEDLE that is well beyond an anchor")], "name string, needle string")
+    got = sorted((str(r["id"]), r["name"], r["chars"]) for r in contains_join(texts, needles).collect())
+    assert got == [("3", "l", 7), ("3", "n", 7), ("3", "n", 7), *[("None", "n", 7)] * 4]
+
+
+def test_replace_keeps_old_data_if_the_swap_fails(spark, tmp_path, monkeypatch):
+    from qaloom.sources import files
+
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    files.replace_parquet(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [1, 2, 3] and len(list(tmp_path.iterdir())) == 1
+    (tmp_path / "blocked").write_text("a file where a folder must go")
+    with pytest.raises(Exception):
+        files.replace_parquet(spark.range(2), str(tmp_path / "blocked" / "x"))
+    files.checkpoint_batch(spark.range(2), str(tmp_path / "batches"), 0)
+    files.checkpoint_batch(spark.range(2), str(tmp_path / "batches"), 0)
+    assert spark.read.parquet(str(tmp_path / "batches")).count() == 2
+
+
+def test_command_line(spark, tmp_path):
+    from qaloom import __main__ as line
+    from qaloom.config import Config
+    from qaloom.plans.catalogue import fake_fetcher
+    from qaloom.sources.files import write_csv
+
+    rows = [(1, '{"urls": ["http://h/some.txt", "http://h/other.html"]}', "Which?", "h/other"), (2, None, "What?", "x")]
+    write_csv(spark.createDataFrame(rows, "row_id long, metadata string, problem string, answer string"), str(tmp_path / "in.csv"))
+    config = Config(delay_seconds=0.0)
+    a, b, c = (str(tmp_path / n) for n in ("a.csv", "b.parquet", "c.parquet"))
+    text = line.run(spark, "acquire", str(tmp_path / "in.csv"), a, config, make_fetcher=fake_fetcher)
+    assert "Rows: 2; with documents: 1" in text and (tmp_path / "a_report.txt").read_text() == text
+
+    def never():
+        raise AssertionError("asked again")
+
+    assert line.run(spark, "acquire", str(tmp_path / "in.csv"), a, config, make_fetcher=lambda: lambda u, p: never()) [22:] != ""
+    assert "Rows: 2" in line.run(spark, "profile", a, b, config)
+    assert line.run(spark, "extract", b, c, config) == "Passages: 1 of 2 rows\n"
+    assert {r["row_id"]: bool(r["long_answer"]) for r in spark.read.parquet(c).collect()} == {"1": True, "2": False}
