@@ -17,9 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where the setting is absent."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where the setting is absent: a temporary folder in
+    local mode, as in tests; on a cluster, other machines couldn't see one, so that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="qaloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -40,7 +43,6 @@ def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
     for path in [p for p in _written[since:] if not any(f"/{p.rsplit('/', 1)[-1]}/" in x for x in inputs)]:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        spark.sql(f"DROP TABLE IF EXISTS `{path.rsplit('/', 1)[-1]}`")
         _written.remove(path)
 
 
@@ -60,12 +62,14 @@ def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
 
 def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     """settle, with the rows in so many buckets by column: what joins or groups them by column later doesn't
-    shuffle them again."""
+    shuffle them again. The catalogue forgets the table at once: it names it only while buckets are read from it."""
     name = f"qaloom_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
     _written.append(path)
     df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
-    return df.sparkSession.table(name)
+    table = df.sparkSession.table(name)
+    df.sparkSession.sql(f"DROP TABLE `{name}`")  # of a table with a path of its own, the files stay
+    return table
 
 
 def fold_ascii(text: Column) -> Column:
