@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_spread, settle, sized
+from .common import join_spread, row_key, settle, sized
 from .components import components
 from .words import BASE, mix, pieces, shingles, tidied, word_hashes
 
@@ -106,8 +106,8 @@ def _sketch(k: int):
                 regs, n = registers(values, bounds), np.diff(bounds)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(n) * BANDS + 1, BANDS), pa.int32()), pa.array(band_keys(regs).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part["_id"], part["_k"], pa.array(n, pa.int64()), pa.array([x if m else None for x, m in zip(nodes, n, strict=True)], pa.binary()), bands, pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["_id", "_k", "n", "node", "bands", "regs"],
+                    [part["_id"], part["_k1"], part["_k2"], pa.array(n, pa.int64()), pa.array([x if m else None for x, m in zip(nodes, n, strict=True)], pa.binary()), bands, pa.array([r.tobytes() for r in regs], pa.binary())],
+                    names=["_id", "_k1", "_k2", "n", "node", "bands", "regs"],
                 )
 
     return made
@@ -119,7 +119,7 @@ def _full_sets(k: int):
             for a, b in pieces(batch["_text"]):
                 part = batch.slice(a, b - a)
                 values, bounds, nodes = _sets(part["_text"], k)
-                yield pa.RecordBatch.from_arrays([part["_k"], pa.array(nodes, pa.binary()), pa.array([values[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["_k", "node", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([values[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["node", "set"])
 
     return made
 
@@ -317,7 +317,8 @@ def _compared(rows: DataFrame, others: DataFrame | None, percent: int) -> DataFr
 
 
 def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: id, n_shingles (long), component_id, kept, and _k, the row's content hash.
+    """One row for each row of docs: id, n_shingles (long), component_id, kept, and _k1, _k2, 128 bits
+    of the id and text.
 
     Rows are linked when 100 * |A and B| >= percent * |A or B| for their sets of distinct k-word shingles;
     component_id is the least id in reach, kept says that the row has it. Links are confirmed on full sets.
@@ -335,9 +336,9 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
     (6) components of the confirmed links, and the least id of each.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(id_col, text_col).alias("_k"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    sketches = settle(rows.mapInArrow(tidied(_sketch(k)), "_id long, _k long, n long, node binary, bands array<long>, regs binary"), "sketches")
-    nodes = settle(sketches.filter("n > 0").select("node", "n", "bands", "regs", "_k").dropDuplicates(["node"]), "nodes")
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), *row_key(docs, id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    sketches = settle(rows.mapInArrow(tidied(_sketch(k)), "_id long, _k1 long, _k2 long, n long, node binary, bands array<long>, regs binary"), "sketches")
+    nodes = settle(sketches.filter("n > 0").select("node", "n", "bands", "regs", "_k1", "_k2").dropDuplicates(["node"]), "nodes")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     pivots = bands.groupBy("band").agg(F.min("node").alias("src"), F.max("node").alias("most")).filter("src <> most").select("band", "src")
     stars = bands.join(pivots, "band").filter("node <> src").groupBy("src", F.col("node").alias("dst")).agg(F.count("*").alias("shared"), F.collect_list("band").alias("bands"))
@@ -347,36 +348,38 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id
     told = settle(told, "told")
     more = _left_over(told.filter("not settled").join(stars.drop("shared"), ["src", "dst"]), nodes, percent)
     near = settle(told.filter(F.col("near") >= FLOOR).select("src", "dst", "shared").unionByName(more.withColumn("shared", F.lit(1).cast("long"))), "near")
-    base = sketches.select("_id", "_k", "n", "node")
+    base = sketches.select("_id", "_k1", "_k2", "n", "node")
     links = near.count()
     if links:
         score = near.select(F.col("src").alias("node"), "shared").unionByName(near.select(F.col("dst").alias("node"), "shared")).groupBy("node").agg(F.sum("shared").alias("score"))
         found = settle(sized(components(near, "candidates").withColumnRenamed("label", "cid").join(score, "node"), 2 * links), "found")
         sizes = found.groupBy("cid").agg(F.count("*").alias("m"), F.max(F.struct("score", "node")).alias("top"))
         found = join_spread(found, sizes, ["cid"], F.col("node"))  # before the sets: a group's rows are small here
-        listed = settle(nodes.select("node", "regs", "_k").join(found, "node"), "listed")  # not sized: it reads all nodes
-        keys = listed.select("_k").distinct()
+        listed = settle(nodes.select("node", "regs", "_k1", "_k2").join(found, "node"), "listed")  # not sized: it reads all nodes
+        keys = listed.select("_k1", "_k2").distinct()
         many = listed.count()
         keys = F.broadcast(keys) if many * 16 <= BROADCAST_BYTES else keys
-        sets = rows.join(keys, "_k", "left_semi").select("_k", "_text").mapInArrow(tidied(_full_sets(k)), "_k long, node binary, set binary").select("node", "set").dropDuplicates(["node"])
+        sets = rows.join(keys, ["_k1", "_k2"], "left_semi").select("_text").mapInArrow(tidied(_full_sets(k)), "node binary, set binary").dropDuplicates(["node"])
         members = settle(sized(sets.join(listed.select("node", "cid", "score", "regs", "m", "top"), "node"), many, SETS), "members")
         labels = components(_verified(members, percent), "labels").withColumnRenamed("label", "root")
     else:
         labels = spark.createDataFrame([], "node binary, root binary")
-    rooted = base.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.filter("root is not null").groupBy("root").agg(F.min("_id").alias("component_id"))
-    named = rooted.join(least, "root", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("_id")).otherwise(F.col("component_id")))
-    return named.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"), "_k")
+    # the rows of one node or root are dealt to many tasks; only what links has a label, only shared roots a least id
+    rooted = join_spread(base, labels, ["node"], F.col("_k1")).withColumn("root", F.coalesce("root", "node"))
+    least = rooted.filter("root is not null").groupBy("root").agg(F.min("_id").alias("least"), F.count("*").alias("m")).filter("m > 1").select("root", "least")
+    named = join_spread(rooted, least, ["root"], F.col("_k1")).withColumn("component_id", F.coalesce("least", "_id"))
+    return named.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"), "_k1", "_k2")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each near-duplicate group; see groups for nulls, ties and repeats."""
-    gone = groups(docs, percent, k, id_col, text_col).filter("not kept").select("_k").distinct()
-    return docs.withColumn("_k", F.xxhash64(id_col, text_col)).join(gone, "_k", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = groups(docs, percent, k, id_col, text_col).filter("not kept").select("_k1", "_k2").distinct()
+    keyed = docs.select(*row_key(docs, id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return keyed.join(gone, ["_k1", "_k2"], "left_anti").select("_row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return groups(docs.select("doc_id", "text"), percent=85).drop("_k")
+    return groups(docs.select("doc_id", "text"), percent=85).drop("_k1", "_k2")
 
 
 #: Brute force: every pair that shares a shingle, and a recursion over the links.
