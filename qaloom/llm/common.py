@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -28,29 +29,36 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-_written: list[str] = []
+_of_thread = threading.local()
+
+
+def _written() -> list[str]:
+    """The paths that this thread has settled and not swept: queries of other threads keep theirs."""
+    if not hasattr(_of_thread, "paths"):
+        _of_thread.paths = []
+    return _of_thread.paths
 
 
 def settled() -> int:
-    """How many tables this process has settled and not swept."""
-    return len(_written)
+    """How many tables this thread has settled and not swept."""
+    return len(_written())
 
 
 def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
-    """Delete what has been settled after the first `since` tables, but for what keep reads. For callers who know that
+    """Delete what this thread has settled after the first `since` tables, but for what keep reads. For callers who know that
     nothing else waits to be computed from those, such as a pipeline whose stage has been written."""
     inputs = keep.inputFiles()
-    for path in [p for p in _written[since:] if not any(f"/{p.rsplit('/', 1)[-1]}/" in x for x in inputs)]:
+    for path in [p for p in _written()[since:] if not any(f"/{p.rsplit('/', 1)[-1]}/" in x for x in inputs)]:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        _written.remove(path)
+        _written().remove(path)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there, so a lost executor costs only
     the tasks that read it, and Python work before it is never repeated."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/qaloom-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -65,7 +73,7 @@ def settle_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     shuffle them again. The catalogue forgets the table at once: it names it only while buckets are read from it."""
     name = f"qaloom_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
-    _written.append(path)
+    _written().append(path)
     df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
     table = df.sparkSession.table(name)
     df.sparkSession.sql(f"DROP TABLE `{name}`")  # of a table with a path of its own, the files stay
