@@ -59,3 +59,47 @@ def test_tokens(stages):
 
 def test_run(spark, stages):
     assert rows(corpus_pipeline.run(spark, SMALL)) == rows(stages[5])
+
+
+HARD = "doc_id long, text string, lang string, source string, n_chars long, _text string, _k1 string, node int, score string"
+
+
+@pytest.fixture(scope="module")
+def fixture_dir(spark, tmp_path_factory):
+    """Tables of nulls, empty and long texts, ties, repeats and clashing names; and the same tables without rows."""
+    own = lambda i, n=40: " ".join(f"w{i}x{j}" for j in range(n))
+    leak = own(77, 12)
+    docs = [(None, own(1)), (1, None), (1, None), (2, ""), (3, " \n\t"), (4, own(4)), (5, own(4)), (6, own(4)), (6, own(4)), (7, own(7, 200_000)), (8, f"{own(8)} {leak} {own(9)}"), (9, f"{own(10)}\nonly here"), (None, None)]
+    docs += [(100 + i, f"Common line \n{own(100 + i)}\n\ncommon LINE") for i in range(10)]
+    rows = [(i, t, None, "hot", len(t or ""), "own", "own", 1, "own") for i, t in docs]
+    at = str(tmp_path_factory.mktemp("hard"))
+    for name, kind, given in (("documents", HARD, rows), ("benchmark", "item_id string, text string", [("a", leak), (None, None), ("b", ""), ("a", leak)]), ("labels", "doc_id long, quality int, toxic int", [(4, 0, 0), (None, 1, 1), (900, 1, 1), (9, None, None), (4, 0, 0)])):
+        made = spark.createDataFrame(given, kind)
+        made.write.parquet(f"{at}/full/{name}.parquet")
+        made.limit(0).write.parquet(f"{at}/none/{name}.parquet")
+    return at
+
+
+def test_hard_rows(spark, fixture_dir):
+    at = f"{fixture_dir}/full"
+    docs, left = spark.read.parquet(f"{at}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, at).cache()
+        left.append([(r["doc_id"], r["text"]) for r in docs.collect()])
+        assert docs.columns == (before.columns if len(left) < 5 else ["doc_id", "n_tokens", "ids", "text"])
+    given = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{at}/documents.parquet").collect()]
+    order = lambda rows: sorted(rows, key=str)
+    assert order(left[0]) == order(given)  # one class is labelled: nothing is rejected
+    cut = [(i, (t or "").replace("Common line \n", "").replace("\ncommon LINE", "")) for i, t in given]
+    assert order(left[1]) == order(cut)
+    assert order(left[2]) == order(r for r in cut if r[0] not in (5, 6))
+    assert order(left[3]) == order(r for r in cut if r[0] not in (5, 6, 8))
+    assert order(left[4]) == order(left[3])
+
+
+def test_empty_tables(spark, fixture_dir):
+    docs = spark.read.parquet(f"{fixture_dir}/none/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, f"{fixture_dir}/none")
+        assert docs.count() == 0
+    assert corpus_pipeline.run(spark, f"{fixture_dir}/none").columns == ["doc_id", "n_tokens", "ids", "text"]
