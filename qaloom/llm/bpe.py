@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .chunks import CHUNK, chunk_ids, part_count, planes, squeeze, unplanes, unsqueeze
 from .common import settle_by
-from .words import pieces, tidied
+from .words import pieces, tidied, tidy
 
 #: Unicode white space, as fixed values.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -64,6 +64,8 @@ def _cut(pattern: str, parts: int):
                     mine = [words[i] for i in own]
                     asked.append({"part": int(p), "words": squeeze(b"".join(mine)), "sizes": planes(np.fromiter(map(len, mine), np.int64, len(mine)))})
                 yield _batch([(chunk, part["_id"].to_pylist(), planes(np.diff(bounds)), planes(np.concatenate(spots)), planes(order), asked)], _CUT)
+                del part, numbers, spots, words, owner, order, asked, found  # before the next chunk's are made
+                tidy()
 
     return made
 
