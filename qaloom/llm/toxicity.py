@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import remainder
-from .lm import END, _before
+from .lm import END, START, _before
 from .words import BASE, MARK, mix, pieces, tidied, word_hashes
 
 #: Labelled rows of each class that the models are fitted on at most, those of least hash, and bytes of text in all:
@@ -26,6 +27,8 @@ DISCOUNT, RATIO, DEVIATIONS = 2.0, 3.0, 3.0
 HEADS = (6, 4)
 LEVELS = ("word", *(f"head{k}" for k in HEADS))
 FOLDS = 4
+#: Tokens or pairs that are sorted, weighed or scored at a time: what more a step takes than its input is in proportion to these.
+BLOCK = 1 << 18
 
 
 class Models:
@@ -96,21 +99,114 @@ def features(ratio: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), ratio / n * 10, ratio / np.sqrt(n), np.log(n) / 5], axis=1)
 
 
+class Rows(NamedTuple):
+    """The tokens of labelled texts: words has the hashes of the distinct words (and of START), sorted, and of their heads;
+    ids has each token's place there. So a token takes 4 bytes, not the 24 of its hashes."""
+
+    words: np.ndarray
+    ids: np.ndarray
+    bounds: np.ndarray
+
+    @staticmethod
+    def of(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Rows:
+        """Of what _tokens gives for some texts after others."""
+        words, ids, sizes = [np.full((1 + len(HEADS), 1), START, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for seq, bounds in parts:
+            _, some, at = np.unique(seq[0], return_index=True, return_inverse=True)
+            words.append(seq[:, some])
+            ids.append(at.astype(np.uint32))
+            sizes.append(np.diff(bounds))
+        begin = np.cumsum([w.shape[1] for w in words])
+        words = np.concatenate(words, axis=1)
+        _, some, at = np.unique(words[0], return_index=True, return_inverse=True)
+        at = at.astype(np.uint32)
+        for i, b in enumerate(begin[:-1], 1):
+            ids[i] = at[b + ids[i]]
+        return Rows(words[:, some], np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64))
+
+    def before(self) -> np.ndarray:
+        """Of each token the one before it."""
+        out = np.empty_like(self.ids)
+        out[1:] = self.ids[:-1]
+        out[self.bounds[:-1]] = np.searchsorted(self.words[0], START)
+        return out
+
+    def ratios(self, model: Models, which: np.ndarray) -> np.ndarray:
+        """The model's ratios of some texts, of as many at a time as BLOCK tokens hold, or one."""
+        out, at = [np.zeros(0)], 0
+        ends = np.cumsum(np.diff(self.bounds)[which])
+        while at < len(which):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")))
+            spots = [self.ids[self.bounds[t] : self.bounds[t + 1]] for t in which[at:to]]
+            out.append(model.ratios(self.words[:, np.concatenate(spots)], np.concatenate([[0], np.cumsum([len(x) for x in spots])])))
+            at = to
+        return np.concatenate(out)
+
+
+class Pairs(NamedTuple):
+    """The distinct pairs v w, by hash, with the places of v and w in Rows.words; and each word before a pair, once in a
+    class: the place of its pair, the class, and a bit for each fold that has it."""
+
+    key: np.ndarray
+    before: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    label: np.ndarray
+    folds: np.ndarray
+
+
+def pairs_of(rows: Rows, label: np.ndarray, fold: np.ndarray) -> Pairs:
+    """Pairs are sorted by ranges of their hash, of some BLOCK tokens each: what a sort holds doesn't grow with the rows."""
+    ids, before, n = rows.ids, rows.before(), len(rows.ids)
+    bits = max(0, n // BLOCK).bit_length()
+    key, where = np.empty(n, np.uint64), np.zeros(n, np.uint16)
+    for a in range(0, n, BLOCK):
+        b = a + BLOCK
+        key[a:b] = mix(rows.words[0, before[a:b]] * np.uint64(BASE) + rows.words[0, ids[a:b]])
+        if bits:
+            where[a:b] = key[a:b] >> np.uint64(64 - bits)
+    mark = np.repeat((label + (1 << fold + 1)).astype(np.uint8), np.diff(rows.bounds))
+    start, got, many = np.searchsorted(rows.words[0], START), [[] for _ in Pairs._fields], 0
+    for p in range(1 << bits):
+        at = np.flatnonzero(where == p)
+        own = key[at]
+        first = before[at] == start  # before START stands START
+        three = mix(rows.words[0, np.where(first, start, before[at - 1])] * np.uint64(BASE) + own) ^ (mark[at] & 1).astype(np.uint64)
+        order = np.argsort(three, kind="stable")
+        order = order[np.argsort(own[order], kind="stable")]
+        own, three = own[order], three[order]
+        once = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (three[1:] != three[:-1])])[: len(own)])
+        seen = np.bitwise_or.reduceat(mark[at[order]], once) if len(once) else np.zeros(0, np.uint8)
+        at, own = at[order[once]], own[once]
+        new = np.concatenate([[True], own[1:] != own[:-1]])[: len(own)]
+        for column, x in zip(got, (own[new], before[at[new]], ids[at[new]], (many + np.cumsum(new) - 1).astype(np.uint32), mark[at] & 1, seen >> 1), strict=True):
+            column.append(x)
+        many += int(new.sum())
+    del key, where, before, mark
+    return Pairs(*(np.concatenate(got.pop(0)) for _ in Pairs._fields))
+
+
 def count(seq: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> Models:
     """Both models' counts."""
-    before, owner = _before(seq[0], bounds), np.repeat(label, np.diff(bounds))
-    key = mix(before * np.uint64(BASE) + seq[0])
-    three = mix(_before(before, bounds) * np.uint64(BASE) + key) ^ owner.astype(np.uint64)
-    once = np.unique(three, return_index=True)[1]  # each word before a pair once in a class
-    pairs, first, where = np.unique(key[once], return_index=True, return_inverse=True)
+    rows = Rows.of([(seq, bounds)])
+    return counted(rows.words, pairs_of(rows, label, np.zeros(len(label), np.int64)))
+
+
+def counted(words: np.ndarray, pairs: Pairs, without: int | None = None) -> Models:
+    """Both models' counts, from all folds or without one."""
     over = lambda at, weights, n: np.stack([np.bincount(at, weights=weights[c], minlength=n) for c in (0, 1)])
-    pair_n = np.stack([np.bincount(where[owner[once] == c], minlength=len(pairs)) for c in (0, 1)])
+    there = pairs.folds & ~np.uint8(0 if without is None else 1 << without) != 0
+    pair_n = np.stack([np.bincount(pairs.pair[there & (pairs.label == c)], minlength=len(pairs.key)) for c in (0, 1)])
+    some = pair_n.any(axis=0)
+    key, before, word, pair_n = pairs.key[some], pairs.before[some], pairs.word[some], pair_n[:, some]
     # the levels from the word up: distinct keys, counts, and where each stands in the level above
-    below, counts, tree = once[first], (pair_n > 0).astype(float), []
-    for asked in seq:
+    counts = over(word, pair_n > 0, words.shape[1])
+    below = np.flatnonzero(counts.any(axis=0))
+    counts = counts[:, below]
+    tree = [[words[0, below], counts, None]]
+    for asked in words[1:]:
         known, some, at = np.unique(asked[below], return_index=True, return_inverse=True)
-        if tree:
-            tree[-1][2] = at
+        tree[-1][2] = at
         counts = over(at, counts, len(known))
         tree.append([known, counts, None])
         below = below[some]
@@ -129,13 +225,17 @@ def count(seq: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> Models:
         missing.append(p)
     names = ["unseen", *(f"{level}_p" for level in LEVELS[::-1])]
     arrays |= dict(zip(names, [missing[0][:, 0], *missing[1:]], strict=True))
-    contexts, x = np.unique(before[once[first]], return_inverse=True)
-    context_n = over(x, pair_n, len(contexts))
-    pair_own = _own(pair_n, context_n[:, x])
-    some = pair_own.any(axis=0)  # pairs that no class has as its own need no place: their count is 0
-    context_held = context_n - over(x, pair_own, len(contexts))
+    context_n = over(before, pair_n, words.shape[1])
+    # pairs that no class has as its own need no place: their count is 0
+    some, pair_own = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
+    for a in range(0, len(key), BLOCK):
+        own = _own(pair_n[:, a : a + BLOCK], context_n[:, before[a : a + BLOCK]])
+        some.append(a + np.flatnonzero(own.any(axis=0)))
+        pair_own.append(own[:, some[-1] - a])
+    some, pair_own = np.concatenate(some), np.concatenate(pair_own, axis=1)
+    context_held = context_n - over(before[some], pair_own, words.shape[1])
     differ = (context_held < context_n).any(axis=0)  # in all other contexts p_c(w | v) is p_c(w)
-    return Models(arrays | {"pair": pairs[some], "pair_own": pair_own[:, some], "context": contexts[differ], "context_n": context_n[:, differ], "context_held": context_held[:, differ]})
+    return Models(arrays | {"pair": key[some], "pair_own": pair_own, "context": words[0, differ], "context_n": context_n[:, differ], "context_held": context_held[:, differ]})
 
 
 def _own(n: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -162,23 +262,18 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(got, axis=1), np.concatenate(bounds)
 
 
-def _some(seq: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return seq[:, np.repeat(which, np.diff(bounds))], np.concatenate([[0], np.cumsum(np.diff(bounds)[which])]).astype(np.int64)
-
-
-def fit(seq: np.ndarray, bounds: np.ndarray, label: np.ndarray, shares: np.ndarray) -> Models:
+def fit(rows: Rows, label: np.ndarray, shares: np.ndarray) -> Models:
     """Both models from all given rows, and the calibration from ratios that models of the other folds give. shares:
     rows of each class among all labelled training rows, which the calibration is weighted to."""
     fold = np.arange(len(label)) % FOLDS
+    pairs = pairs_of(rows, label, fold)
     x, y = [], []
     for f in range(FOLDS):
-        inside = fold == f
-        if inside.any() and not inside.all():
-            model = count(*_some(seq, bounds, ~inside), label[~inside])
-            own = _some(seq, bounds, inside)
-            x.append(features(model.ratios(*own), np.diff(own[1])))
+        inside = np.flatnonzero(fold == f)
+        if 0 < len(inside) < len(label):
+            x.append(features(rows.ratios(counted(rows.words, pairs, f), inside), np.diff(rows.bounds)[inside]))
             y.append(label[inside])
-    model = count(seq, bounds, label)
+    model = counted(rows.words, pairs)
     weights = np.zeros(4)
     if x and 0 < label.sum() < len(label):
         x, y = np.concatenate(x), np.concatenate(y)
@@ -211,22 +306,26 @@ def train(docs: DataFrame, labels: DataFrame, held_out: str | None = None, modul
     both, half = np.array([shares.get(0, 0), shares.get(1, 0)], float), FIT_BYTES / 2
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, labels, room = [(np.zeros((1 + len(HEADS), 0), np.uint64), np.zeros(1, np.int64))], [np.zeros(0, np.int64)], [half] * 2
-        for batch in batches:
-            own, sizes = batch["_label"].to_numpy(), pc.binary_length(batch["_text"]).to_numpy()
-            keep = np.zeros(len(own), bool)
-            for i, (label, size) in enumerate(zip(own, sizes, strict=True)):
-                if size <= room[label]:
-                    room[label] -= size
-                    keep[i] = True
-            got.append(_tokens(batch["_text"].filter(pa.array(keep))))
-            labels.append(own[keep].astype(np.int64))
-        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in got]))]).astype(np.int64)
-        model = fit(np.concatenate([s for s, _ in got], axis=1), bounds, np.concatenate(labels), both)
-        yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], names=["model"])
+        labels, room = [np.zeros(0, np.int64)], [half] * 2
+
+        def tokens() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                own, sizes = batch["_label"].to_numpy(), pc.binary_length(batch["_text"]).to_numpy()
+                keep = np.zeros(len(own), bool)
+                for i, (label, size) in enumerate(zip(own, sizes, strict=True)):
+                    if size <= room[label]:
+                        room[label] -= size
+                        keep[i] = True
+                labels.append(own[keep].astype(np.int64))
+                some = batch["_text"].filter(pa.array(keep))
+                for a, b in pieces(some):
+                    yield _tokens(some.slice(a, b - a))
+
+        sample = Rows.of(tokens())
+        yield pa.RecordBatch.from_arrays([pa.array([fit(sample, np.concatenate(labels), both).dump()], pa.binary())], names=["model"])
 
     made = rows.select("_text", "_label").coalesce(1).mapInArrow(tidied(fitted), "model binary").first()
-    return bytes(made[0]) if made else fit(*_tokens(pa.array([], pa.string())), np.zeros(0, np.int64), both).dump()  # no partition at all
+    return bytes(made[0]) if made else fit(Rows.of([]), np.zeros(0, np.int64), both).dump()  # no partition at all
 
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:

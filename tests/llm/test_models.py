@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -337,6 +338,44 @@ def test_toxicity_leaves_out_what_has_no_room(spark, monkeypatch):
     assert len(got) == 401 and got[9000] == 1
 
 
+def test_toxicity_counts_in_bounded_memory(monkeypatch):
+    """The hashes of all tokens were sorted at once: 187 bytes a token here."""
+    monkeypatch.setattr(toxicity, "BLOCK", 1 << 14, raising=False)
+    rng, n = np.random.default_rng(5), 400_000
+    words = rng.integers(1 << 32, 1 << 63, 20_000).astype(np.uint64)
+    heads = [words, words >> np.uint64(8), words >> np.uint64(16)]
+    drawn, bounds = (rng.random(n) ** 3 * len(words)).astype(np.int64), np.arange(0, n + 1, 100)
+    seq, label = np.stack([h[drawn] for h in heads]), np.arange(len(bounds) - 1) % 2
+    toxicity.count(seq[:, :100], bounds[:2], label[:1])
+    tracemalloc.start()
+    toxicity.count(seq, bounds, label)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * n, most / n
+
+
+def test_toxicity_folds_and_blocks_change_no_model(monkeypatch):
+    import pyarrow as pa
+
+    same = lambda a, b: a.arrays.keys() == b.arrays.keys() and all(np.array_equal(a.arrays[k], b.arrays[k]) for k in a.arrays)
+    texts, label = [t for t, _ in tox_rows()] + [""], np.array([*(c for _, c in tox_rows()), 0])
+    fold, shares = np.arange(len(label)) % toxicity.FOLDS, np.array([300.0, 100.0])
+    rows = toxicity.Rows.of([toxicity._tokens(pa.array(texts))])
+    fitted = toxicity.fit(rows, label, shares)
+    for block in (1 << 18, 50):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        apart = toxicity.Rows.of(toxicity._tokens(pa.array(texts[a : a + 7])) for a in range(0, len(texts), 7))
+        assert all(np.array_equal(a, b) for a, b in zip(rows, apart, strict=True))
+        pairs = toxicity.pairs_of(apart, label, fold)
+        for f in range(toxicity.FOLDS):
+            seq, bounds = toxicity._tokens(pa.array([t for t, k in zip(texts, fold, strict=True) if k != f]))
+            model = toxicity.count(seq, bounds, label[fold != f])
+            assert same(toxicity.counted(apart.words, pairs, f), model)
+            own = [t for t, k in zip(texts, fold, strict=True) if k == f]
+            assert np.array_equal(apart.ratios(model, np.flatnonzero(fold == f)), model.ratios(*toxicity._tokens(pa.array(own))))
+        assert same(toxicity.fit(apart, label, shares), fitted)
+
+
 def test_language_id(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     langs, model = langid.train(docs.filter("doc_id % 2 = 0"))
